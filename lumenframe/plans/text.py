@@ -1,0 +1,123 @@
+"""Term weights, latent semantic index, text scoring."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from .. import sources as S
+from ..operators import lsa as L
+from ..operators import text as X
+from ..operators.classify import text_classifier
+from ..operators.features import with_split
+from ..runtime import fresh_path, table
+from .joins import TOKENS, WORD_LIST, WORDS, corpus
+from .registry import query
+
+
+@query(
+    "tokenize_filter",
+    f"""with {TOKENS}, stop as (select term from freq order by df desc, term limit 50)
+        select doc_id, term, count(*) as tf from tok where term not in (select term from stop) group by 1, 2""",
+)
+def tokenize_filter(spark, sf):
+    docs = table(spark, sf, "documents")
+    stop = X.top_terms(X.document_frequency(X.bag_of_words(docs)), 50)
+    return X.count_terms(X.without_stop_words(X.tokens(docs), stop)).drop("doc_terms")
+
+
+@query("term_frequency", f"with {TOKENS} select doc_id, term, tf, doc_terms::int as doc_terms from bag join totals using (doc_id)")
+def term_frequency(spark, sf):
+    return X.bag_of_words(table(spark, sf, "documents"))
+
+
+@query("document_frequency", f"with {TOKENS} select term, df from freq")
+def document_frequency(spark, sf):
+    return X.document_frequency(X.bag_of_words(table(spark, sf, "documents")))
+
+
+@query("idf", f"with {TOKENS} select term, term_id, df, round(idf, 8) + 0.0 as idf from vocab")
+def idf(spark, sf):
+    _, _, vocab = corpus(spark, sf)
+    return vocab.withColumn("idf", F.round("idf", 8) + 0.0)
+
+
+@query("tfidf", f"with {TOKENS} select doc_id, term, tf, df, round(weight, 10) + 0.0 as weight from weights")
+def tfidf(spark, sf):
+    _, bag, vocab = corpus(spark, sf)
+    return X.weigh(bag, vocab).select("doc_id", "term", "tf", "df", (F.round("weight", 10) + 0.0).alias("weight"))
+
+
+@query("query_vector", f"with {TOKENS} select term, term_id, round(idf, 8) + 0.0 as idf from vocab where term in ({WORD_LIST})")
+def query_vector(spark, sf):
+    _, _, vocab = corpus(spark, sf)
+    return X.query_weights(vocab, [*WORDS, "zzzunknown"]).withColumn("idf", F.round("idf", 8) + 0.0)
+
+
+def semantic_index(spark, sf):
+    return L.fit(L.word_table(table(spark, sf, "documents")), n_terms=5000, k=25)
+
+
+@query("lsa_fit")
+def lsa_fit(spark, sf):
+    index = semantic_index(spark, sf)
+    energy = L._long(index.scaled_documents(), ["doc_id"], "us").groupBy("concept").agg(
+        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("document_norm")
+    )
+    return index.singular_values().join(energy, "concept")
+
+
+@query("scale_rows_by_singular")
+def scale_rows_by_singular(spark, sf):
+    return semantic_index(spark, sf).scaled_documents()
+
+
+@query("top_terms_per_concept")
+def top_terms_per_concept(spark, sf):
+    return L.top_terms_per_concept(semantic_index(spark, sf), 25)
+
+
+@query("top_docs_per_concept")
+def top_docs_per_concept(spark, sf):
+    return L.top_docs_per_concept(semantic_index(spark, sf), 25)
+
+
+@query("top_genres_per_concept")
+def top_genres_per_concept(spark, sf):
+    return L.top_genres_per_concept(semantic_index(spark, sf), table(spark, sf, "documents"), "source")
+
+
+@query("semantic_search")
+def semantic_search(spark, sf):
+    return L.search(semantic_index(spark, sf), WORDS, 25)
+
+
+def report(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("title", F.concat_ws(" :", "source", "doc_id"))
+    return L.concept_report(semantic_index(spark, sf), docs, "title", "source")
+
+
+@query("concept_report")
+def concept_report(spark, sf):
+    return report(spark, sf)
+
+
+@query("write_report")
+def write_report(spark, sf):
+    rows = report(spark, sf)
+    path = S.write_lines(rows, L.report_lines(rows), fresh_path(spark, "report"))
+    return spark.read.text(path).where("value <> ''").select(F.col("value").alias("line"))
+
+
+@query("text_scorer")
+def text_scorer(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labelled = docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
+    train = with_split(labelled, "doc_id", 0.8).where("part = 'train'")
+    model = text_classifier(n_features=1 << 14).fit(train.withColumn("words", X.token_array(F.col("text"))))
+    scored = model.transform(docs.withColumn("words", X.token_array(F.col("text"))))
+    return scored.select(
+        "doc_id",
+        (F.col("prediction").cast("int") + 1).alias("score"),
+        F.get(vector_to_array("probability"), F.lit(1)).alias("probability"),
+    )

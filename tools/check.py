@@ -107,7 +107,7 @@ def main():
                         shown += 1
         except Exception as exc:
             bad.append(name)
-            print(f"FAIL {name}: {type(exc).__name__} {str(exc)[:1500]}")
+            print(f"FAIL {name}: {type(exc).__name__} {chr(10).join(str(exc).splitlines()[:4])[:900]}")
             if a.names:
                 traceback.print_exc(limit=8)
     print("bad:", bad)
