@@ -28,7 +28,7 @@ def session(app: str = "lumenframe", cores: int | None = None) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark
 
 
