@@ -72,13 +72,15 @@ def treatment_coding(df: DataFrame, formula: str, fit_on: DataFrame | None = Non
     return coder.fit(df if fit_on is None else fit_on).transform(df)
 
 
+def dummy_names(levels: dict[str, list]) -> list[str]:
+    """``factor_level`` for every level but the first."""
+    return [f"{c}_{v}" for c, values in levels.items() for v in sorted(values)[1:]]
+
+
 def dummies(levels: dict[str, list]) -> dict[str, Column]:
-    """Indicator columns of every level but the first, named ``factor_level``."""
-    return {
-        f"{c}_{v}": (F.col(c) == F.lit(v)).cast("double")
-        for c, values in levels.items()
-        for v in sorted(values)[1:]
-    }
+    """Indicator columns under those names."""
+    cells = [(c, v) for c, values in levels.items() for v in sorted(values)[1:]]
+    return {n: (F.col(c) == F.lit(v)).cast("double") for n, (c, v) in zip(dummy_names(levels), cells)}
 
 
 def interactions(pairs: list[tuple[str, str]]) -> dict[str, Column]:

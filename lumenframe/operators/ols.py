@@ -22,20 +22,86 @@ def _pairs(k: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
+# Up to this many columns each co-moment is its own built-in aggregate; a generated
+# aggregate of dozens of them gets too large to compile well, so beyond it each task
+# sums its rows with one matrix product per group.
+NARROW = 4
+
+
 def moments(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """(keys, n, mean[], comoment[]) with population co-moments of the upper triangle.
 
     Rows with a missing value in any of the columns are left out, as in any regression.
     """
-    doubles = [F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]
-    rows = df.select(*keys, *doubles).na.drop(subset=[f"_c{i}" for i in range(len(columns))])
+    k = len(columns)
+    names = [f"_c{i}" for i in range(k)]
+    doubles = [F.col(c).cast("double").alias(n) for c, n in zip(columns, names)]
+    rows = df.select(*keys, *doubles).na.drop(subset=names)
+    if k > NARROW:
+        return _wide_moments(rows, keys, names)
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(f"_c{i}") for i in range(len(columns))]).alias("mean"),
-        F.array(*[F.covar_pop(f"_c{i}", f"_c{j}") for i, j in _pairs(len(columns))]).alias("comoment"),
+        F.array(*[F.avg(n) for n in names]).alias("mean"),
+        F.array(*[F.covar_pop(names[i], names[j]) for i, j in _pairs(k)]).alias("comoment"),
     )
 
 
+def _wide_moments(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """One pass: rows -> one partial per (task, group) -> merged on (group, salt) -> merged per group."""
+    upper = np.triu_indices(len(names))
+    schema = T.StructType([
+        *[rows.schema[c] for c in keys], *T.StructType.fromDDL("n bigint, mean array<double>, comoment array<double>").fields
+    ])
+    columns = schema.names
+
+    def groups(pdf: pd.DataFrame) -> Iterator[tuple[tuple, np.ndarray]]:
+        if not keys:
+            yield (), np.arange(len(pdf))
+        else:
+            for key, at in pdf.groupby(keys, dropna=False, sort=False).indices.items():
+                yield (key if isinstance(key, tuple) else (key,)), at
+
+    def table(found: dict) -> pd.DataFrame:
+        out = [(*key, n, list(mean), list(spread / n)) for key, (n, mean, spread) in found.items()]
+        return pd.DataFrame(out, columns=columns)
+
+    def add(found: dict, key: tuple, n: float, mean: np.ndarray, spread: np.ndarray) -> None:
+        """Merge of two disjoint groups around their joint mean."""
+        if key in found:
+            m, centre, base = found[key]
+            gap = mean - centre
+            both = m + n
+            spread = spread + base + np.outer(gap, gap)[upper] * (m * n / both)
+            n, mean = both, centre + gap * (n / both)
+        found[key] = (n, mean, spread)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict = {}
+        for pdf in batches:
+            x = pdf[names].to_numpy(float)
+            for key, at in groups(pdf):
+                if len(at):
+                    mean = x[at].mean(0)
+                    d = x[at] - mean
+                    add(found, key, len(at), mean, (d.T @ d)[upper])
+        yield table(found)
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict = {}
+        for pdf in batches:
+            for key, at in groups(pdf):
+                for i in at:
+                    n, mean, spread = pdf["n"].iat[i], pdf["mean"].iat[i], pdf["comoment"].iat[i]
+                    add(found, key, n, np.asarray(mean), np.asarray(spread) * n)
+        yield table(found)
+
+    parts = rows.mapInPandas(partial, schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    fewer = parts.repartition(*keys, "_salt").drop("_salt").mapInPandas(merged, schema)
+    # At most 64 partials per group are left.
+    whole = fewer.repartition(*keys) if keys else fewer.repartition(1)
+    return whole.mapInPandas(merged, schema)
+
+
 def _square(tri: np.ndarray, k: int) -> np.ndarray:
     full = np.zeros((k, k))
     rows, cols = np.triu_indices(k)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.special import chi2_tail, f_tail, normal_cdf
 from .daily import SERIES, along
-from .ols import _pairs, _square, solve_centred
+from .ols import _square, moments, solve_centred
 
 
 def acf(daily: DataFrame, column: str, lags: int = 10) -> DataFrame:
@@ -106,10 +106,7 @@ def adf_test(daily: DataFrame, column: str, max_lags: int = 5) -> DataFrame:
     design = rows.select(SERIES, "lags", *[used(i).alias(n) for i, n in enumerate(names)], "_y").na.drop()
     size = max_lags + 2
     columns = [*names, "_y"]
-    sums = design.groupBy(SERIES, "lags").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.covar_pop(columns[i], columns[j]) for i, j in _pairs(size)]).alias("cov"),
-    )
+    sums = moments(design, [SERIES, "lags"], columns).withColumnRenamed("comoment", "cov")
     models = sums.groupBy(SERIES).agg(F.array_sort(F.collect_list(F.struct("lags", "n", "cov"))).alias("m"))
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -19,39 +19,39 @@ def reduce_groups(
     df: DataFrame,
     keys: list[str],
     values: dict[str, str],
-    first: Callable[[pd.DataFrame], pd.Series],
-    merge: Callable[[pd.DataFrame], pd.Series],
+    first: Callable[[pd.DataFrame], dict],
+    merge: Callable[[pd.DataFrame], dict],
 ) -> DataFrame:
-    """User-defined aggregate in two steps.
+    """User-defined aggregate in steps; both functions return one value per output name.
 
     ``first`` reduces the rows of a key inside each Arrow batch, before any shuffle,
-    so a hot key sends one row per batch; ``merge`` folds those partial rows, bit by
-    bit over salted groups and then once per key.
+    so a hot key sends one row per batch.  ``merge`` folds those partial rows, first
+    batch by batch on (key, salt) and then once per key.
     """
     schema = T.StructType([*[df.schema[k] for k in keys], *T.StructType.fromDDL(
         ", ".join(f"`{n}` {t}" for n, t in values.items())
     ).fields])
     names = list(values)
 
-    def fold(pdf: pd.DataFrame, fn: Callable[[pd.DataFrame], pd.Series]) -> pd.DataFrame:
-        rows = [
-            (*(k if isinstance(k, tuple) else (k,)), *[fn(g)[n] for n in names])
-            for k, g in pdf.groupby(keys, dropna=False, sort=False)
-        ]
+    def fold(pdf: pd.DataFrame, fn: Callable[[pd.DataFrame], dict]) -> pd.DataFrame:
+        rows = []
+        for k, g in pdf.groupby(keys, dropna=False, sort=False):
+            found = fn(g)
+            rows.append((*k, *[found[n] for n in names]))
         return pd.DataFrame(rows, columns=[*keys, *names])
 
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if len(pdf):
-                yield fold(pdf, first)
+    def batches(fn: Callable[[pd.DataFrame], dict]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in it:
+                if len(pdf):
+                    yield fold(pdf, fn)
 
-    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fold(pdf, merge)
+        return run
 
-    partial = df.mapInPandas(batches, schema)
-    salted = partial.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
-    once = salted.groupBy(*keys, "_salt").applyInPandas(lambda pdf: merged(pdf.drop(columns="_salt")), schema)
-    return once.groupBy(*keys).applyInPandas(merged, schema)
+    partial = df.mapInPandas(batches(first), schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fewer = partial.repartition(parts, *keys, "_salt").drop("_salt").mapInPandas(batches(merge), schema)
+    return fewer.groupBy(*keys).applyInPandas(lambda pdf: fold(pdf, merge), schema)
 
 
 def count_words(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -103,8 +103,8 @@ def group_function(spark, sf):
         items,
         ["l_suppkey", "l_returnflag"],
         {"l_quantity": "double", "n": "bigint"},
-        lambda pdf: pdf.assign(n=1)[["l_quantity", "n"]].sum(),
-        lambda pdf: pdf[["l_quantity", "n"]].sum(),
+        lambda pdf: {"l_quantity": pdf["l_quantity"].sum(), "n": len(pdf)},
+        lambda pdf: {"l_quantity": pdf["l_quantity"].sum(), "n": pdf["n"].sum()},
     )
 
 

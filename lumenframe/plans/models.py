@@ -1,0 +1,281 @@
+"""Supervised models on the driver tables."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import classify, kernel_ridge, neural, ols, regress
+from ..operators import joins as J
+from ..operators import metrics as M
+from ..operators.features import dummies, dummy_names, interactions, polynomial_terms, range_scale, with_fold, with_split
+from ..operators.frame import threshold_flag
+from ..runtime import table
+from .joins import ATOMS, molecules
+from .registry import query
+
+
+def part_of(df, name):
+    return df.where(F.col("part") == name).drop("part")
+
+
+def digits(spark, sf):
+    """Ten-class vectors, split 90/10 by key."""
+    rows = table(spark, sf, "embeddings").select(
+        "vec_id",
+        F.col("label").cast("double").alias("label"),
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+    )
+    return with_split(rows, "vec_id", 0.9)
+
+
+HEART = ["o_totalprice", "o_orderpriority", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def heart(spark, sf):
+    """Mixed columns with a two-valued label."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderpriority",
+        F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("No").alias("status"),
+    )
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return with_split(orders.join(customer, "c_custkey"), "o_orderkey", 0.9)
+
+
+FLAGS = {"l_returnflag": ["A", "N", "R"], "p_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}
+NUMBERS = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+CODED = [*NUMBERS, *dummy_names(FLAGS)]
+
+
+def insurance(spark, sf):
+    """Price of a line from its numbers and factors, split 80/20 by key."""
+    items = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"),
+        "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice",
+    )
+    part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_type")
+    rows = items.join(part, "p_partkey").withColumn("size_rng", threshold_flag(F.col("p_size"), 30).cast("double"))
+    return with_split(rows.withColumns(dummies(FLAGS)), ["l_orderkey", "l_linenumber"], 0.8)
+
+
+def label_report(scored):
+    cells = M.confusion(scored, "label", "prediction")
+    accuracy = M.accuracy(cells).select("accuracy").scalar()
+    return M.by_label(cells).withColumn("accuracy", accuracy)
+
+
+@query("logistic_regression")
+def logistic_regression(spark, sf):
+    rows = digits(spark, sf)
+    model = classify.logistic(reg=0.01, iterations=20).fit(part_of(rows, "train"))
+    return label_report(model.transform(part_of(rows, "test")))
+
+
+@query("random_forest_classifier")
+def random_forest_classifier(spark, sf):
+    rows = digits(spark, sf)
+    model = classify.forest(trees=10, depth=6).fit(part_of(rows, "train"))
+    return label_report(model.transform(part_of(rows, "test")))
+
+
+@query("decision_tree_classifier")
+def decision_tree_classifier(spark, sf):
+    rows = heart(spark, sf)
+    model = classify.hashed_pipeline(HEART, "status", classify.tree(depth=5)).fit(part_of(rows, "train"))
+    return label_report(model.transform(part_of(rows, "test")))
+
+
+@query("score_table")
+def score_table(spark, sf):
+    rows = heart(spark, sf)
+    model = classify.hashed_pipeline(HEART, "status", classify.forest(trees=5)).fit(part_of(rows, "train"))
+    scored = model.transform(part_of(rows, "test"))
+    return scored.select("o_orderkey", "label", "prediction", F.get(vector_to_array("probability"), F.lit(1)).alias("p"))
+
+
+@query("area_under_roc_of_model")
+def area_under_roc_of_model(spark, sf):
+    scored = score_table(spark, sf)
+    return M.area_under_roc(scored, "p", F.col("label") == 1)
+
+
+@query("random_forest_regressor")
+def random_forest_regressor(spark, sf):
+    """Years before 2000 train, 2000 tests."""
+    items = table(spark, sf, "lineitem").select(
+        F.month("l_shipdate").alias("month"), F.dayofmonth("l_shipdate").alias("day"),
+        "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice",
+    )
+    xs = ["month", "day", "l_quantity", "l_discount", "l_tax", "l_linenumber"]
+    rows = regress.vectors(items, xs, "l_extendedprice")
+    ship = F.col("l_shipdate")
+    train = rows.where(ship < F.lit("2000-01-01").cast("timestamp_ntz"))
+    test = rows.where((ship >= F.lit("2000-01-01").cast("timestamp_ntz")) & (ship < F.lit("2001-01-01").cast("timestamp_ntz")))
+    model = regress.forest(trees=10, depth=6).fit(train)
+    return M.regression_metrics(model.transform(test), "label", "prediction")
+
+
+@query(
+    "linear_regression",
+    """select l_returnflag, count(*) as n, round(regr_slope(l_extendedprice, l_quantity), 4) as slope,
+              round(regr_intercept(l_extendedprice, l_quantity), 3) as intercept from lineitem group by 1""",
+)
+def linear_regression(spark, sf):
+    model = ols.fit(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"], ["l_returnflag"])
+    return model.select(
+        "l_returnflag", "n", F.round(F.get("coef", F.lit(0)), 4).alias("slope"), F.round("intercept", 3).alias("intercept")
+    )
+
+
+@query("linear_regression_factors")
+def linear_regression_factors(spark, sf):
+    rows = insurance(spark, sf)
+    scored = ols.predict(part_of(rows, "test"), ols.fit(part_of(rows, "train"), "l_extendedprice", CODED), CODED)
+    return M.regression_metrics(scored, "l_extendedprice", "prediction")
+
+
+@query(
+    "regression_summary",
+    """with m as (select count(*) as n, regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a,
+                         regr_r2(l_extendedprice, l_quantity) as r2, var_pop(l_quantity) as vx, avg(l_quantity) as mx, var_pop(l_extendedprice) as vy from lineitem),
+       e as (select l_extendedprice - a - b * l_quantity as e from lineitem, m),
+       s as (select *, sqrt(n * vy * (1 - r2) / (n - 2)) as sigma from m)
+       select n, round(a, 3) as intercept, round(b, 4) as slope, round(sigma / sqrt(n * vx), 6) as slope_se, round(b / (sigma / sqrt(n * vx)), 3) as slope_t,
+              round(r2, 8) as r2, round(1 - (1 - r2) * (n - 1) / (n - 2), 8) as r2adj, round(sigma, 3) as sigma,
+              (select round(min(e), 3) from e) as e_min, (select round(quantile_cont(e, 0.25), 3) from e) as e_q1, (select round(quantile_cont(e, 0.5), 3) from e) as e_median,
+              (select round(quantile_cont(e, 0.75), 3) from e) as e_q3, (select round(max(e), 3) from e) as e_max from s""",
+)
+def regression_summary(spark, sf):
+    s = regress.residual_summary(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"])
+
+    def first(c):
+        return F.get(c, F.lit(0))
+
+    return s.select(
+        "n",
+        F.round("intercept", 3).alias("intercept"),
+        F.round(first("coef"), 4).alias("slope"),
+        F.round(first("se"), 6).alias("slope_se"),
+        F.round(first("t"), 3).alias("slope_t"),
+        F.round("r2", 8).alias("r2"),
+        F.round("r2adj", 8).alias("r2adj"),
+        F.round("sigma", 3).alias("sigma"),
+        *[F.round(f"e_{q}", 3).alias(f"e_{q}") for q in ("min", "q1", "median", "q3", "max")],
+    )
+
+
+PAIRS = [
+    ("size_rng", "l_returnflag_R"),
+    ("p_size", "l_returnflag_R"),
+    ("l_quantity", "l_returnflag_R"),
+    ("l_quantity", "p_size"),
+    ("l_quantity", "size_rng"),
+]
+
+
+@query("interaction_search")
+def interaction_search(spark, sf):
+    train = part_of(insurance(spark, sf), "train").withColumns(interactions(PAIRS))
+    fits = [
+        ols.fit(train, "l_extendedprice", [*CODED, "size_rng", f"{a}:{b}"]).select(
+            F.lit(f"{a}*{b}").alias("choice"), "r2", "r2adj"
+        )
+        for a, b in PAIRS
+    ]
+    out = fits[0]
+    for f in fits[1:]:
+        out = out.unionByName(f)
+    return out.orderBy(F.desc("r2"))
+
+
+@query("lasso_cv")
+def lasso_cv(spark, sf):
+    train = with_fold(part_of(insurance(spark, sf), "train"), ["l_orderkey", "l_linenumber"], 5)
+    xs = [*CODED, "size_rng"]
+    return regress.lasso_table(spark, xs, regress.lasso_cv(train, "l_extendedprice", xs, "fold"))
+
+
+@query("polynomial_regression")
+def polynomial_regression(spark, sf):
+    rows = polynomial_terms(polynomial_terms(insurance(spark, sf), "l_quantity", 3), "p_size", 2)
+    rows = rows.withColumns(interactions([("size_rng", "l_returnflag_R")]))
+    powers = ["l_quantity_1", "l_quantity_2", "l_quantity_3", "p_size_1", "p_size_2"]
+    xs = [*powers, *[c for c in CODED if c not in ("l_quantity", "p_size")], "size_rng", "size_rng:l_returnflag_R"]
+    scored = ols.predict(part_of(rows, "test"), ols.fit(part_of(rows, "train"), "l_extendedprice", xs), xs)
+    return M.regression_metrics(scored, "l_extendedprice", "prediction")
+
+
+def insurance_vectors(spark, sf):
+    rows = regress.vectors(insurance(spark, sf), CODED, "l_extendedprice")
+    return part_of(rows, "train"), part_of(rows, "test")
+
+
+@query("regression_tree_grid")
+def regression_tree_grid(spark, sf):
+    train, test = insurance_vectors(spark, sf)
+    return regress.tree_grid(train.select("label", "features"), test.select("label", "features"), [10, 20], [5, 10])
+
+
+@query("bagged_trees")
+def bagged_trees(spark, sf):
+    train, test = insurance_vectors(spark, sf)
+    return M.regression_metrics(regress.bagging(10, 6).fit(train).transform(test), "label", "prediction")
+
+
+@query("model_tree")
+def model_tree(spark, sf):
+    train, test = insurance_vectors(spark, sf)
+    return M.regression_metrics(regress.model_tree(train, test, CODED, 3), "label", "prediction")
+
+
+@query("mlp_regressor")
+def mlp_regressor(spark, sf):
+    rows = with_split(table(spark, sf, "part").withColumns(dummies({"p_type": FLAGS["p_type"]})), "p_partkey", 0.8)
+    xs = ["p_partkey", "p_size", *dummy_names({"p_type": FLAGS["p_type"]})]
+    train = rows.where("part = 'train'")
+    scaled = range_scale(rows, ["p_partkey", "p_size", "p_retailprice"], train)
+    net = neural.fit(part_of(scaled, "train"), xs, "p_retailprice", hidden=5, steps=40)
+    return M.regression_metrics(neural.predict(part_of(scaled, "test"), net, xs), "p_retailprice", "prediction")
+
+
+def energies(spark, sf):
+    """Inverse-distance descriptors with an energy that depends on them."""
+    described = J.inverse_distance_descriptor(molecules(spark, sf), "vec_id", F.col("atoms"))
+    total = F.aggregate("descriptor", F.lit(0.0), lambda s, x: s + x)
+    return with_split(described.withColumn("energy", total * total), "vec_id", 0.8)
+
+
+@query("kernel_ridge_fit")
+def kernel_ridge_fit(spark, sf):
+    rows = energies(spark, sf)
+    train, test = part_of(rows, "train"), part_of(rows, "test")
+    marks, weights = kernel_ridge.fit(train, "vec_id", "descriptor", "energy", 1e-6, 0.04, m=200)
+    scored = kernel_ridge.predict(test, "descriptor", marks, weights, 0.04)
+    return M.regression_metrics(scored, "energy", "prediction")
+
+
+@query(
+    "kernel_ridge_predict",
+    f"""with {ATOMS}, d as (select vec_id, list(inverse order by i, j) as x from pairs group by 1),
+        marks as (select x as l, row_number() over (order by md5(cast(vec_id as varchar)), vec_id) as r from d order by r limit 50)
+        select vec_id, round(sum(exp(-0.04::double * pow(list_distance(x, l), 2)) / r), 6) as prediction from d, marks group by 1""",
+)
+def kernel_ridge_predict(spark, sf):
+    rows = energies(spark, sf)
+    marks = kernel_ridge.landmark_matrix(rows, "vec_id", "descriptor", 50)
+    scored = kernel_ridge.predict(rows, "descriptor", marks, 1 / np.arange(1, len(marks) + 1), 0.04)
+    return scored.select("vec_id", F.round("prediction", 6).alias("prediction"))
+
+
+@query("compare_trained_models")
+def compare_trained_models(spark, sf):
+    train, test = insurance_vectors(spark, sf)
+    y = "label"
+    scored = {
+        "Linear Model": ols.predict(test, ols.fit(train, y, CODED), CODED),
+        "Regression Tree": regress.tree(20, 8).fit(train).transform(test),
+        "M5": regress.model_tree(train, test, CODED, 3),
+        "Random Forest": regress.forest(10, 6).fit(train).transform(test),
+    }
+    return M.compare_models(scored, y)
