@@ -8,7 +8,7 @@ from ..operators import baskets as B
 from ..operators import clusters as C
 from ..operators import udfs as U
 from ..operators.features import standardize
-from ..runtime import table
+from ..runtime import spread_table, table
 from .registry import query
 from .sources import type_baskets
 
@@ -32,10 +32,10 @@ def frequent_itemsets(spark, sf):
     f"""with {MASKS} select l.names as lhs, r.names as rhs, round(f.support, 8) as support, round(f.support / a.support, 8) as confidence,
         round(f.support / a.support / b.support, 8) as lift
         from freq f join freq a on (f.m & a.m) = a.m and a.m <> f.m join freq b on b.m = f.m - a.m
-        join names l on l.m = a.m join names r on r.m = b.m where f.support / a.support >= 0.5""",
+        join names l on l.m = a.m join names r on r.m = b.m where f.support / a.support >= 0.2""",
 )
 def association_rules(spark, sf):
-    rules = B.association_rules(B.frequent_itemsets(type_baskets(spark, sf), "items", 0.1), 0.5)
+    rules = B.association_rules(B.frequent_itemsets(type_baskets(spark, sf), "items", 0.1), 0.2)
     return rules.select(
         F.concat_ws("|", "lhs").alias("lhs"),
         F.concat_ws("|", "rhs").alias("rhs"),
@@ -98,7 +98,7 @@ def row_function(spark, sf):
     """select l_suppkey, l_returnflag, sum(l_quantity) as l_quantity, count(*) as n from lineitem group by 1, 2""",
 )
 def group_function(spark, sf):
-    items = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_quantity")
+    items = spread_table(spark, sf, "lineitem", "l_orderkey").select("l_suppkey", "l_returnflag", "l_quantity")
     return U.reduce_groups(
         items,
         ["l_suppkey", "l_returnflag"],
@@ -113,5 +113,5 @@ def group_function(spark, sf):
     r"""select doc_id, len(list_filter(regexp_extract_all(lower(text), '\p{L}+'), lambda w: length(w) > 2))::int as n from documents""",
 )
 def partition_function(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
     return U.count_words(docs, "doc_id", "text")

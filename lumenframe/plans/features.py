@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as X
 from ..operators import profile as P
-from ..runtime import table
+from ..runtime import spread_table, table
 from .profiling import edge_sql
 from .registry import query
 
@@ -65,7 +65,7 @@ BUCKETED = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
     ),
 )
 def quantile_buckets(spark, sf):
-    cut = P.quantile_buckets(table(spark, sf, "lineitem").select(*BUCKETED), BUCKETED, 15)
+    cut = P.quantile_buckets(spread_table(spark, sf, "lineitem", "l_orderkey").select(*BUCKETED), BUCKETED, 15)
     long = cut.select(*[F.col(f"{c}_discretized").alias(c) for c in BUCKETED]).unpivot([], BUCKETED, "feature", "bucket")
     return long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
 

@@ -9,7 +9,7 @@ from ..operators import daily as D
 from ..operators import joins as J
 from ..operators import text as X
 from ..operators.ordering import top_per_group
-from ..runtime import table
+from ..runtime import spread_table, table
 from .registry import query
 
 TOKENS = r"""
@@ -26,7 +26,7 @@ weights as (select doc_id, term, term_id, tf, df, idf, idf * tf / doc_terms as w
 
 
 def corpus(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     bag = X.bag_of_words(docs)
     return docs, bag, X.vocabulary(bag, X.row_total(docs))
 
@@ -61,7 +61,7 @@ def broadcast_map_join(spark, sf):
         where term not in (select term from stop) group by 1""",
 )
 def stopword_anti_join(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     stop = X.top_terms(X.document_frequency(X.bag_of_words(docs)), 100)
     counted = X.count_terms(X.without_stop_words(X.tokens(docs), stop))
     return counted.groupBy("doc_id").agg(F.sum("tf").alias("kept"), F.count(F.lit(1)).alias("terms"))
@@ -74,7 +74,7 @@ def stopword_anti_join(spark, sf):
         from tok left join lemmas using (term) group by 1""",
 )
 def lemma_lookup_join(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     terms = X.tokens(docs).select("term").distinct()
     plural = terms.select(F.concat("term", F.lit("s")).alias("term"), F.col("term").alias("lemma"))
     lemmas = plural.join(terms, "term", "left_semi")

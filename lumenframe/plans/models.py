@@ -11,7 +11,7 @@ from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators.features import dummies, dummy_names, interactions, polynomial_terms, range_scale, with_fold, with_split
 from ..operators.frame import threshold_flag
-from ..runtime import table
+from ..runtime import spread_table, table
 from .joins import ATOMS, molecules
 from .registry import query
 
@@ -35,7 +35,7 @@ HEART = ["o_totalprice", "o_orderpriority", "c_nationkey", "c_acctbal", "c_mktse
 
 def heart(spark, sf):
     """Mixed columns with a two-valued label."""
-    orders = table(spark, sf, "orders").select(
+    orders = spread_table(spark, sf, "orders", "o_orderkey").select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderpriority",
         F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("No").alias("status"),
     )
@@ -50,7 +50,7 @@ CODED = [*NUMBERS, *dummy_names(FLAGS)]
 
 def insurance(spark, sf):
     """Price of a line from its numbers and factors, split 80/20 by key."""
-    items = table(spark, sf, "lineitem").select(
+    items = spread_table(spark, sf, "lineitem", "l_orderkey").select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"),
         "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice",
     )
@@ -103,7 +103,7 @@ def area_under_roc_of_model(spark, sf):
 @query("random_forest_regressor")
 def random_forest_regressor(spark, sf):
     """Years before 2000 train, 2000 tests."""
-    items = table(spark, sf, "lineitem").select(
+    items = spread_table(spark, sf, "lineitem", "l_orderkey").select(
         F.month("l_shipdate").alias("month"), F.dayofmonth("l_shipdate").alias("day"),
         "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice",
     )

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators import text as X
 from ..operators.ordering import best_row
-from ..runtime import table
+from ..runtime import spread_table, table
 from .joins import TOKENS
 from .registry import query
 
 
 @query("top_terms", f"with {TOKENS} select term, df from vocab")
 def top_terms(spark, sf):
-    bag = X.bag_of_words(table(spark, sf, "documents"))
+    bag = X.bag_of_words(spread_table(spark, sf, "documents", "doc_id"))
     return X.top_terms(X.document_frequency(bag), 5000)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import frame as X
 from ..operators import profile as P
-from ..runtime import table
+from ..runtime import spread_table, table
 from .registry import query
 
 
@@ -77,7 +77,7 @@ NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     ),
 )
 def numeric_summary(spark, sf):
-    s = P.numeric_summary(table(spark, sf, "lineitem"), NUMERIC)
+    s = P.numeric_summary(spread_table(spark, sf, "lineitem", "l_orderkey"), NUMERIC)
     return s.select("column", "min", *[F.round(c, 6).alias(c) for c in ("q1", "median", "mean", "q3")], "max")
 
 
@@ -133,7 +133,7 @@ def histogram_by_group(spark, sf):
               count(*) filter (not inside) as outliers, count(*) as n from f group by 1""",
 )
 def boxplot_stats(spark, sf):
-    b = P.boxplot(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice")
+    b = P.boxplot(spread_table(spark, sf, "lineitem", "l_orderkey"), "l_returnflag", "l_extendedprice")
     return b.select("l_returnflag", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3")], "whisker_low", "whisker_high", "outliers", "n")
 
 
@@ -171,7 +171,7 @@ def spearman_sql(source: str) -> str:
 
 @query("spearman_pairs", spearman_sql("select * from lineitem"))
 def spearman_pairs(spark, sf):
-    s = P.spearman_with(table(spark, sf, "lineitem"), "l_extendedprice", SPEARMAN)
+    s = P.spearman_with(spread_table(spark, sf, "lineitem", "l_orderkey"), "l_extendedprice", SPEARMAN)
     return s.withColumn("rho", F.round("rho", 8) + 0.0)
 
 
@@ -185,7 +185,7 @@ def edge_sql(columns: list[str], buckets: int, source: str) -> str:
 
 @query("spearman_discretized", spearman_sql(edge_sql(SPEARMAN, 15, "lineitem")))
 def spearman_discretized(spark, sf):
-    items = table(spark, sf, "lineitem").select("l_extendedprice", *SPEARMAN)
+    items = spread_table(spark, sf, "lineitem", "l_orderkey").select("l_extendedprice", *SPEARMAN)
     cut = P.quantile_buckets(items, SPEARMAN, 15)
     cut = cut.select("l_extendedprice", *[F.col(f"{c}_discretized").alias(c) for c in SPEARMAN])
     return P.spearman_with(cut, "l_extendedprice", SPEARMAN).withColumn("rho", F.round("rho", 8) + 0.0)

@@ -10,7 +10,7 @@ from ..operators import lsa as L
 from ..operators import text as X
 from ..operators.classify import text_classifier
 from ..operators.features import with_split
-from ..runtime import fresh_path, table
+from ..runtime import fresh_path, spread_table, table
 from .joins import TOKENS, WORD_LIST, WORDS, corpus
 from .registry import query
 
@@ -21,19 +21,19 @@ from .registry import query
         select doc_id, term, count(*) as tf from tok where term not in (select term from stop) group by 1, 2""",
 )
 def tokenize_filter(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     stop = X.top_terms(X.document_frequency(X.bag_of_words(docs)), 50)
     return X.count_terms(X.without_stop_words(X.tokens(docs), stop)).drop("doc_terms")
 
 
 @query("term_frequency", f"with {TOKENS} select doc_id, term, tf, doc_terms::int as doc_terms from bag join totals using (doc_id)")
 def term_frequency(spark, sf):
-    return X.bag_of_words(table(spark, sf, "documents"))
+    return X.bag_of_words(spread_table(spark, sf, "documents", "doc_id"))
 
 
 @query("document_frequency", f"with {TOKENS} select term, df from freq")
 def document_frequency(spark, sf):
-    return X.document_frequency(X.bag_of_words(table(spark, sf, "documents")))
+    return X.document_frequency(X.bag_of_words(spread_table(spark, sf, "documents", "doc_id")))
 
 
 @query("idf", f"with {TOKENS} select term, term_id, df, round(idf, 8) + 0.0 as idf from vocab")
@@ -55,7 +55,7 @@ def query_vector(spark, sf):
 
 
 def semantic_index(spark, sf):
-    return L.fit(L.word_table(table(spark, sf, "documents")), n_terms=5000, k=25)
+    return L.fit(L.word_table(spread_table(spark, sf, "documents", "doc_id")), n_terms=5000, k=25)
 
 
 @query("lsa_fit")
@@ -111,7 +111,7 @@ def write_report(spark, sf):
 
 @query("text_scorer")
 def text_scorer(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
     labelled = docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
     train = with_split(labelled, "doc_id", 0.8).where("part = 'train'")
     model = text_classifier(n_features=1 << 14).fit(train.withColumn("words", X.token_array(F.col("text"))))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import daily as D
 from ..operators import text as X
 from ..operators.ranking import ordinal
-from ..runtime import table
+from ..runtime import spread_table, table
 from .joins import TOKENS
 from .registry import query
 
@@ -84,7 +84,7 @@ def cube_root(spark, sf):
         union all select 'doc', cast(doc_id as varchar), row_number() over (order by doc_id) - 1 from documents""",
 )
 def dense_ids(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     vocab = X.vocabulary(X.bag_of_words(docs), X.row_total(docs))
     terms = vocab.select(F.lit("term").alias("what"), F.col("term").alias("name"), F.col("term_id").cast("bigint").alias("id"))
     numbered = ordinal(docs.select("doc_id"), [], "doc_id", "id")
