@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import lookup
+from ..runtime import cut_lineage, lookup
 
 
 def cell_columns(columns: list[str], threshold: float) -> list[Column]:
@@ -38,9 +38,9 @@ def subclusters(points: DataFrame, columns: list[str], threshold: float = 0.5) -
 
 def global_clusters(cells: DataFrame, columns: list[str], k: int = 100, seed: int = 0) -> DataFrame:
     """Add ``cluster`` to the cells: weighted k-means on their centroids."""
-    rows = VectorAssembler(inputCols=columns, outputCol="_x").transform(
-        cells.withColumn("_w", F.col("n").cast("double"))
-    )
+    # Cells are read by every iteration and again for the labels, so they are written once.
+    written = cut_lineage(cells.withColumn("_w", F.col("n").cast("double")))
+    rows = VectorAssembler(inputCols=columns, outputCol="_x").transform(written)
     fewer = min(k, rows.limit(k).count())
     model = KMeans(
         k=max(fewer, 2), seed=seed, featuresCol="_x", weightCol="_w", predictionCol="cluster"

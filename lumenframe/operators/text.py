@@ -18,8 +18,8 @@ def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return docs.select(key, F.explode(token_array(F.col(text))).alias("term"))
 
 
-def without_stop_words(toks: DataFrame, stop: DataFrame) -> DataFrame:
-    return lookup(toks, stop.select("term").distinct(), ["term"], "left_anti")
+def without_stop_words(toks: DataFrame, stop: DataFrame, known_rows: int | None = None) -> DataFrame:
+    return lookup(toks, stop.select("term").distinct(), ["term"], "left_anti", known_rows=known_rows)
 
 
 def lemmatised(toks: DataFrame, lemmas: DataFrame) -> DataFrame:

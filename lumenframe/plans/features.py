@@ -47,11 +47,11 @@ def label_index(spark, sf):
 
 @query(
     "assemble_features",
-    "select p_partkey, [p_size::double, p_retailprice, p_partkey::double] as features from part",
+    """select p_partkey, unnest([0, 1, 2])::int as pos, unnest([p_size::double, p_retailprice, p_partkey::double]) as value from part""",
 )
 def assemble_features(spark, sf):
     wide = X.assemble(table(spark, sf, "part"), ["p_size", "p_retailprice", "p_partkey"])
-    return wide.select("p_partkey", vector_to_array("features").alias("features"))
+    return wide.select("p_partkey", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
 BUCKETED = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
@@ -98,13 +98,13 @@ def range_scale(spark, sf):
 
 @query(
     "treatment_coding",
-    """select c_custkey, [c_acctbal, (c_mktsegment = 'MACHINERY')::int::double, (c_mktsegment = 'HOUSEHOLD')::int::double,
-              (c_mktsegment = 'FURNITURE')::int::double, (c_mktsegment = 'BUILDING')::int::double] as features from customer""",
+    """select c_custkey, unnest([0, 1, 2, 3, 4])::int as pos, unnest([c_acctbal, (c_mktsegment = 'MACHINERY')::int::double, (c_mktsegment = 'HOUSEHOLD')::int::double,
+              (c_mktsegment = 'FURNITURE')::int::double, (c_mktsegment = 'BUILDING')::int::double]) as value from customer""",
 )
 def treatment_coding(spark, sf):
     customer = table(spark, sf, "customer").withColumn("y", F.col("c_nationkey").cast("double"))
     coded = X.treatment_coding(customer, "y ~ c_acctbal + c_mktsegment")
-    return coded.select("c_custkey", vector_to_array("features").alias("features"))
+    return coded.select("c_custkey", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
 @query(

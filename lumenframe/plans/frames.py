@@ -18,6 +18,7 @@ def select_columns(spark, sf):
 @query(
     "rename_drop",
     "select cast(o_orderdate as date) as date, o_totalprice as y, o_orderkey from orders",
+    text=("date",),
 )
 def rename_drop(spark, sf):
     renamed = table(spark, sf, "orders").withColumnsRenamed({"o_orderdate": "date", "o_totalprice": "y"})
@@ -160,13 +161,13 @@ def factor_codes(spark, sf):
 
 @query(
     "state_matrix",
-    """select l_orderkey as label, count(distinct p_partkey) filter (p_type = 'ECONOMY') > 0 as "ECONOMY",
-              bool_or(p_type = 'LARGE') as "LARGE", bool_or(p_type = 'MEDIUM') as "MEDIUM", bool_or(p_type = 'PROMO') as "PROMO",
-              bool_or(p_type = 'SMALL') as "SMALL", bool_or(p_type = 'STANDARD') as "STANDARD"
+    """select l_orderkey as label, bool_or(p_type = 'ECONOMY')::int as "ECONOMY",
+              bool_or(p_type = 'LARGE')::int as "LARGE", bool_or(p_type = 'MEDIUM')::int as "MEDIUM", bool_or(p_type = 'PROMO')::int as "PROMO",
+              bool_or(p_type = 'SMALL')::int as "SMALL", bool_or(p_type = 'STANDARD')::int as "STANDARD"
        from lineitem join part on l_partkey = p_partkey group by 1""",
 )
 def state_matrix(spark, sf):
     baskets = type_baskets(spark, sf)
     long = baskets.select(F.col("l_orderkey").alias("label"), F.explode("items").alias("item"))
     hot = X.multi_hot(long, "label", "item")
-    return hot.select("label", *[(F.col(c) > 0).alias(c) for c in hot.columns[1:]])
+    return hot.select("label", *[(F.col(c) > 0).cast("int").alias(c) for c in hot.columns[1:]])

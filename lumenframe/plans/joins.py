@@ -9,7 +9,7 @@ from ..operators import daily as D
 from ..operators import joins as J
 from ..operators import text as X
 from ..operators.ordering import top_per_group
-from ..runtime import spread_table, table
+from ..runtime import cut_lineage, spread_table, table
 from .registry import query
 
 TOKENS = r"""
@@ -63,7 +63,7 @@ def broadcast_map_join(spark, sf):
 def stopword_anti_join(spark, sf):
     docs = spread_table(spark, sf, "documents", "doc_id")
     stop = X.top_terms(X.document_frequency(X.bag_of_words(docs)), 100)
-    counted = X.count_terms(X.without_stop_words(X.tokens(docs), stop))
+    counted = X.count_terms(X.without_stop_words(X.tokens(docs), stop, 100))
     return counted.groupBy("doc_id").agg(F.sum("tf").alias("kept"), F.count(F.lit(1)).alias("terms"))
 
 
@@ -77,7 +77,7 @@ def lemma_lookup_join(spark, sf):
     docs = spread_table(spark, sf, "documents", "doc_id")
     terms = X.tokens(docs).select("term").distinct()
     plural = terms.select(F.concat("term", F.lit("s")).alias("term"), F.col("term").alias("lemma"))
-    lemmas = plural.join(terms, "term", "left_semi")
+    lemmas = cut_lineage(plural.join(terms, "term", "left_semi"))  # counted, then joined
     toks = X.lemmatised(X.tokens(docs), lemmas)
     return X.count_terms(toks).groupBy("doc_id").agg(
         F.sum("tf").alias("n"), F.count(F.lit(1)).alias("lemmas")
@@ -90,6 +90,7 @@ def lemma_lookup_join(spark, sf):
        c as (select t, y, lag(y) over (order by t) as prev, row_number() over (order by t) as i from d)
        select a.t as date, round(100 * (b.y / b.prev - 1), 4) as y, a.i - 1 as position
        from c a join c b on b.i = a.i + 1""",
+    text=("date",),
 )
 def positional_attach(spark, sf):
     daily = D.daily_series(
@@ -122,11 +123,12 @@ def pair_self_join(spark, sf):
 
 @query(
     "inverse_distance_descriptor",
-    f"with {ATOMS} select vec_id, list(round(inverse, 6) order by i, j) as descriptor from pairs group by 1",
+    f"""with {ATOMS} select vec_id, (row_number() over (partition by vec_id order by i, j) - 1)::int as pos, round(inverse, 6) as value from pairs""",
 )
 def inverse_distance_descriptor(spark, sf):
     found = J.inverse_distance_descriptor(molecules(spark, sf), "vec_id", F.col("atoms"))
-    return found.withColumn("descriptor", F.transform("descriptor", lambda x: F.round(x, 6)))
+    each = found.select("vec_id", F.posexplode("descriptor").alias("pos", "value"))
+    return each.withColumn("value", F.round("value", 6))
 
 
 @query(

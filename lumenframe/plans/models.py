@@ -11,7 +11,7 @@ from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators.features import dummies, dummy_names, interactions, polynomial_terms, range_scale, with_fold, with_split
 from ..operators.frame import threshold_flag
-from ..runtime import spread_table, table
+from ..runtime import lookup, spread_table, table
 from .joins import ATOMS, molecules
 from .registry import query
 
@@ -40,7 +40,7 @@ def heart(spark, sf):
         F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("No").alias("status"),
     )
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return with_split(orders.join(customer, "c_custkey"), "o_orderkey", 0.9)
+    return with_split(lookup(orders, customer, ["c_custkey"]), "o_orderkey", 0.9)
 
 
 FLAGS = {"l_returnflag": ["A", "N", "R"], "p_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}
@@ -55,7 +55,7 @@ def insurance(spark, sf):
         "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice",
     )
     part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_type")
-    rows = items.join(part, "p_partkey").withColumn("size_rng", threshold_flag(F.col("p_size"), 30).cast("double"))
+    rows = lookup(items, part, ["p_partkey"]).withColumn("size_rng", threshold_flag(F.col("p_size"), 30).cast("double"))
     return with_split(rows.withColumns(dummies(FLAGS)), ["l_orderkey", "l_linenumber"], 0.8)
 
 

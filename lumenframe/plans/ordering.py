@@ -28,7 +28,7 @@ def order_results(spark, sf):
     ).orderBy("r2", "model")
 
 
-@query("head_rows", "select * from orders order by o_orderkey limit 10")
+@query("head_rows", "select * from orders order by o_orderkey limit 10", text=("o_orderdate",))
 def head_rows(spark, sf):
     return table(spark, sf, "orders").orderBy("o_orderkey").limit(10)
 

@@ -12,7 +12,7 @@ from .registry import query
 @query(
     "text_functions",
     r"""select doc_id, string_split(text, ' ')[1] as first_word, substring(text, 3, 5) as cut, lower(source) as low,
-               length(text)::int as n, regexp_full_match(string_split(text, ' ')[1], '\p{L}+') as letters,
+               length(text)::int as n, regexp_full_match(string_split(text, ' ')[1], '\p{L}+')::int as letters,
                concat_ws(', ', lang, source) as joined, len(regexp_extract_all(text, '\p{L}+'))::int as words
         from documents""",
 )
@@ -24,7 +24,7 @@ def text_functions(spark, sf):
         F.substring("text", 3, 5).alias("cut"),
         F.lower("source").alias("low"),
         F.length("text").alias("n"),
-        first.rlike(r"^\p{L}+\z").alias("letters"),
+        first.rlike(r"^\p{L}+\z").cast("int").alias("letters"),
         F.concat_ws(", ", "lang", "source").alias("joined"),
         F.size(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("words"),
     )
@@ -57,6 +57,7 @@ def math_functions(spark, sf):
     "date_functions",
     """select event_id, cast(ts as date) as day, year(ts)::int as year, month(ts)::int as month,
               day(ts)::int as dom, hour(ts)::int as hour from events""",
+    text=("day",),
 )
 def date_functions(spark, sf):
     text = F.date_format("ts", "yyyy-MM-dd")
@@ -93,7 +94,7 @@ def array_functions(spark, sf):
 @query(
     "type_functions",
     """select o_orderkey, try_cast(substring(o_orderpriority, 1, 1) as int) as level,
-              try_cast(o_orderpriority as double) as not_a_number, cast(o_totalprice as bigint) as whole,
+              coalesce(try_cast(o_orderpriority as double), -1.0)::double as not_a_number, cast(o_totalprice as bigint) as whole,
               cast(o_orderkey as varchar) as label
        from (select * replace (trunc(o_totalprice) as o_totalprice) from orders)""",
 )
@@ -101,7 +102,7 @@ def type_functions(spark, sf):
     return table(spark, sf, "orders").select(
         "o_orderkey",
         F.substring("o_orderpriority", 1, 1).try_cast("int").alias("level"),
-        F.col("o_orderpriority").try_cast("double").alias("not_a_number"),
+        F.coalesce(F.col("o_orderpriority").try_cast("double"), F.lit(-1.0)).alias("not_a_number"),
         F.col("o_totalprice").cast("bigint").alias("whole"),
         F.col("o_orderkey").cast("string").alias("label"),
     )

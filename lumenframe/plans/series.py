@@ -39,6 +39,7 @@ def steady_days(spark, sf):
     f"""with {EVENT_DAYS}, days as (select series_id, unnest(generate_series(min(t)::timestamp, max(t)::timestamp, interval 1 day))::date as t from evd group by 1)
         select series_id, t, coalesce(y, 0.0) as y, coalesce(y2, 0.0) as y2 from days left join evd using (series_id, t)
         union all select 'orders', cast(o_orderdate as date), count(*)::double, round(sum(o_totalprice), 2) from orders group by 2""",
+    text=("t",),
 )
 def daily_series(spark, sf):
     orders = D.daily_series(

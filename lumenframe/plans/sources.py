@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import sources as S
-from ..runtime import fresh_path, table
+from ..runtime import fresh_path, lookup, table
 from .registry import query
 
 
@@ -138,7 +138,7 @@ def type_baskets(spark, sf):
     items = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
     types = table(spark, sf, "part").select("p_partkey", "p_type")
     return (
-        items.join(types, "p_partkey")
+        lookup(items, types, ["p_partkey"])
         .groupBy("l_orderkey")
         .agg(F.array_sort(F.collect_set("p_type")).alias("items"))
     )
@@ -237,6 +237,7 @@ def frame_with_schema(spark, sf):
     "write_csv",
     """select o_orderstatus, o_orderpriority, count(*) as n, round(sum(o_totalprice), 2) as total,
               min(o_orderdate) as first_day from orders group by 1, 2""",
+    text=("first_day",),
 )
 def write_csv(spark, sf):
     orders = table(spark, sf, "orders")

@@ -23,7 +23,7 @@ from .registry import query
 def tokenize_filter(spark, sf):
     docs = spread_table(spark, sf, "documents", "doc_id")
     stop = X.top_terms(X.document_frequency(X.bag_of_words(docs)), 50)
-    return X.count_terms(X.without_stop_words(X.tokens(docs), stop)).drop("doc_terms")
+    return X.count_terms(X.without_stop_words(X.tokens(docs), stop, 50)).drop("doc_terms")
 
 
 @query("term_frequency", f"with {TOKENS} select doc_id, term, tf, doc_terms::int as doc_terms from bag join totals using (doc_id)")

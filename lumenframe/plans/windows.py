@@ -44,6 +44,7 @@ def event_days(spark, sf):
 @query(
     "lag_column",
     f"with {EVENT_DAYS} select series_id, t, y, lag(y) over (partition by series_id order by t) as prev from evd",
+    text=("t",),
 )
 def lag_column(spark, sf):
     return D.lagged(event_days(spark, sf), "y", 1).select("series_id", "t", "y", F.col("lag1").alias("prev"))
@@ -53,6 +54,7 @@ def lag_column(spark, sf):
     "lag_table",
     f"""with {DAILY} select series_id, t, y, coalesce(lag(y, 1) over w, 0.0) as x1, coalesce(lag(y, 2) over w, 0.0) as x2,
         coalesce(lag(y, 3) over w, 0.0) as x3 from daily window w as (partition by series_id order by t)""",
+    text=("t",),
 )
 def lag_table(spark, sf):
     return D.lag_table(order_days(spark, sf).drop("y2"), "y", 3)
@@ -62,6 +64,7 @@ def lag_table(spark, sf):
     "pct_change",
     f"""with {DAILY} select series_id, t, round(100 * (y / prev - 1), 6) as change from
         (select *, lag(y) over (partition by series_id order by t) as prev from daily) where prev is not null""",
+    text=("t",),
 )
 def pct_change(spark, sf):
     changed = D.pct_change(order_days(spark, sf), "y", "change")
@@ -72,6 +75,7 @@ def pct_change(spark, sf):
     "cube_root",
     f"""with {DAILY} select series_id, t, round(cbrt(100 * (y / prev - 1)), 6) + 0.0 as steady from
         (select *, lag(y) over (partition by series_id order by t) as prev from daily) where prev is not null""",
+    text=("t",),
 )
 def cube_root(spark, sf):
     changed = D.pct_change(order_days(spark, sf), "y", "change")
@@ -97,6 +101,7 @@ def dense_ids(spark, sf):
     "chrono_split",
     f"""with {DAILY} select series_id, t, case when row_number() over (partition by series_id order by t)
         <= round_even(0.8::double * count(*) over (partition by series_id), 0) then 'train' else 'test' end as part from daily""",
+    text=("t",),
 )
 def chrono_split(spark, sf):
     return D.chrono_split(order_days(spark, sf)).select("series_id", "t", "part")
@@ -109,6 +114,7 @@ def chrono_split(spark, sf):
               window w as (partition by series_id order by t rows between unbounded preceding and 1 preceding))
         select series_id, t, pairs, case when pairs > 1 then round(slope, 6) + 0.0 end as slope,
                case when pairs > 1 then round(c + slope * x, 3) end as forecast from r""",
+    text=("t",),
 )
 def expanding_origin(spark, sf):
     run = D.expanding_ar1(order_days(spark, sf), "y")

@@ -94,16 +94,21 @@ def lookup(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     salts: int = 16,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Join a large table to a reference table whose keys may be hot on the left.
 
+    ``known_rows`` is a bound the caller has already, such as the n of a top-n list;
+    without one the reference table is counted.
+
     A reference table of checked size is broadcast.  A larger one is joined on
     (key, salt): it is replicated ``salts`` times and the left rows of one key are
     spread over as many tasks.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    if fits_broadcast(right, max_rows):
+    small = known_rows <= max_rows if known_rows is not None else fits_broadcast(right, max_rows)
+    if small:
         return left.join(F.broadcast(right), on, how)
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = left.withColumn("_salt", spread([F.col(c) for c in left.columns], salts))
