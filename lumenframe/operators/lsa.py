@@ -7,6 +7,7 @@ projecting the long tf-idf table on the term factors.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import top_per_group
-from .text import query_weights, row_total, token_array, vocabulary, weigh
+from .text import each_term, query_weights, row_total, token_array, vocabulary, weigh
 
 DOC = "doc_id"
+ENTRIES_PER_PARTITION = 2_000_000
 
 
 @dataclass
@@ -66,7 +68,7 @@ def word_table(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bag_of_arrays(words: DataFrame) -> DataFrame:
-    each = words.select(DOC, F.size("words").alias("doc_terms"), F.explode("words").alias("term"))
+    each = each_term(words.withColumnRenamed("words", "_w"), DOC, F.size("_w").alias("doc_terms"))
     return each.groupBy(DOC, "doc_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -86,6 +88,11 @@ def fit(words: DataFrame, n_terms: int = 5000, k: int = 25) -> SemanticIndex:
     ):
         scaled = stage.transform(scaled)
     rows = MLUtils.convertVectorColumnsFromML(scaled.select(F.col(DOC).alias("index"), "vector"), "vector")
+    # The solver runs many short jobs over these rows: pack a small matrix into few
+    # partitions.  The document frequencies add up to its number of entries.
+    needed = max(1, math.ceil(sum(r["df"] for r in local) / ENTRIES_PER_PARTITION))
+    if needed < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        rows = rows.repartition(needed, "index")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         svd = IndexedRowMatrix(rows, numCols=len(names)).computeSVD(min(k, len(names)), computeU=False)

@@ -184,8 +184,16 @@ def predict_grouped(
     df: DataFrame, model: DataFrame, xs: list[str], keys: list[str], out: str = "prediction", salts: int = 16
 ) -> DataFrame:
     """Apply one model per group; rows of a hot group are spread over salts."""
-    small = model.select(*keys, F.col("intercept").alias("_i"), F.col("coef").alias("_c"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = model.select(
+        *[F.col(c).alias(f"_k_{c}") for c in keys],
+        F.col("intercept").alias("_i"),
+        F.col("coef").alias("_c"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"),
+    )
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in xs]), F.lit(salts)).cast("int"))
-    joined = salted.join(copies, [*keys, "_salt"])
-    return joined.withColumn(out, linear(xs, F.col("_c"), F.col("_i"))).drop("_salt", "_i", "_c")
+    same = F.col("_salt") == F.col("_copy")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    joined = salted.join(copies, same)
+    spare = ["_salt", "_copy", "_i", "_c", *[f"_k_{c}" for c in keys]]
+    return joined.withColumn(out, linear(xs, F.col("_c"), F.col("_i"))).drop(*spare)

@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import attach_by_value, average_rank, cut_points, exact_quantiles, running_totals
+from .ranking import attach_by_value, average_rank, cut_points, exact_quantiles, running_totals, value_counts
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def duplicates(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("dupe_count")).where("dupe_count > 1")
 
 
-def numeric_summary(df: DataFrame, columns: list[str], splits_per: int | None = None) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: min, quartiles, mean, max.
 
     All columns go through one pass in long form; quantiles are exact and computed
@@ -76,9 +76,9 @@ def boxplot(df: DataFrame, by: str, column: str) -> DataFrame:
     """
     quarters = exact_quantiles(df, [by], column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    counts = df.where(F.col(column).isNotNull()).groupBy(by, column).agg(F.count(F.lit(1)).alias("n"))
+    counts = value_counts(df, [by], column)
     inside = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)
-    fenced = lookup_small_groups(counts, quarters, by)
+    fenced = with_group_facts(counts, quarters, by)
     return fenced.groupBy(by).agg(
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
@@ -90,13 +90,19 @@ def boxplot(df: DataFrame, by: str, column: str) -> DataFrame:
     )
 
 
-def lookup_small_groups(rows: DataFrame, facts: DataFrame, key: str, salts: int = 16) -> DataFrame:
-    """Attach one-row-per-group facts; (key, salt) keeps a hot group spread."""
+def with_group_facts(rows: DataFrame, facts: DataFrame, key: str, salts: int = 16) -> DataFrame:
+    """Attach one-row-per-group facts; (key, salt) keeps a hot group spread and a null
+    group is a group."""
     salted = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
     )
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"]).drop("_salt")
+    copies = facts.select(
+        F.col(key).alias("_key"),
+        *[c for c in facts.columns if c != key],
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"),
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_copy"))
+    return salted.join(copies, same).drop("_salt", "_key", "_copy")
 
 
 def pearson_pairs(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -84,7 +84,7 @@ def running_totals(
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Distinct values with their counts: hot values collapse before any sort."""
     return (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(as_number(df, value)))
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -94,7 +94,7 @@ def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
     """Linear-interpolated quantiles per group; ``probs`` maps output name to probability."""
-    counts = value_counts(df, keys, value)
+    counts = value_counts(df, keys, value)  # one shuffle, used for the totals and for the ranks
     ranked = running_totals(counts, keys, value, ["n"], cut_points(df, value))
     lo_hi, out = [], []
     for name, p in probs.items():

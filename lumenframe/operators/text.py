@@ -14,8 +14,17 @@ def token_array(text: Column, min_length: int = 3) -> Column:
     return F.filter(words, lambda w: F.length(w) >= min_length)
 
 
+def each_term(words: DataFrame, *keep: str | Column) -> DataFrame:
+    """One row per element of ``_w``.
+
+    A plain explode would make the planner test the array for emptiness first and run
+    the token pattern over every text twice.
+    """
+    return words.select(*keep, F.explode_outer("_w").alias("term")).where(F.col("term").isNotNull())
+
+
 def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return docs.select(key, F.explode(token_array(F.col(text))).alias("term"))
+    return each_term(docs.select(key, token_array(F.col(text)).alias("_w")), key)
 
 
 def without_stop_words(toks: DataFrame, stop: DataFrame, known_rows: int | None = None) -> DataFrame:
@@ -31,7 +40,7 @@ def lemmatised(toks: DataFrame, lemmas: DataFrame) -> DataFrame:
 def bag_of_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, doc_terms, term, tf); ``doc_terms`` counts every kept token of the text."""
     words = docs.select(key, token_array(F.col(text)).alias("_w"))
-    each = words.select(key, F.size("_w").alias("doc_terms"), F.explode("_w").alias("term"))
+    each = each_term(words, key, F.size("_w").alias("doc_terms"))
     return each.groupBy(key, "doc_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -72,13 +72,13 @@ NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     "numeric_summary",
     " union all ".join(
         f"""select '{c}' as "column", min({c}) as min, round(quantile_cont({c}, 0.25), 6) as q1, round(quantile_cont({c}, 0.5), 6) as median,
-            round(avg({c}), 6) as mean, round(quantile_cont({c}, 0.75), 6) as q3, max({c}) as max from lineitem"""
+            round(avg({c}), 8) as mean, round(quantile_cont({c}, 0.75), 6) as q3, max({c}) as max from lineitem"""
         for c in NUMERIC
     ),
 )
 def numeric_summary(spark, sf):
     s = P.numeric_summary(spread_table(spark, sf, "lineitem", "l_orderkey"), NUMERIC)
-    return s.select("column", "min", *[F.round(c, 6).alias(c) for c in ("q1", "median", "mean", "q3")], "max")
+    return s.select("column", "min", *[F.round(c, d).alias(c) for c, d in (("q1", 6), ("median", 6), ("mean", 8), ("q3", 6))], "max")
 
 
 CENTRED = """c as (select '{c}' as "column", {c}::double - (select avg({c}) from lineitem) as d from lineitem)"""

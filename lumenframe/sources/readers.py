@@ -171,9 +171,11 @@ def extract_elements(
     pages: DataFrame, key: str, html: str, tag: str, class_like: str | None = None, attribute: str | None = None
 ) -> DataFrame:
     """(key, pos, text[, attribute]) of each ``tag`` element, optionally by class regex."""
-    found = pages.select(key, F.posexplode(_elements(F.col(html), tag)).alias("_at", "_el"))
+    found = pages.select(key, F.posexplode_outer(_elements(F.col(html), tag)).alias("_at", "_el"))
+    found = found.where(F.col("_el").isNotNull())
     if class_like is not None:
         found = found.where(_attribute(F.col("_el"), "class").rlike(class_like))
+        # One window partition is the elements of one page.
         at = F.row_number().over(Window.partitionBy(key).orderBy("_at")) - 1
     else:
         at = F.col("_at")
