@@ -32,7 +32,7 @@ HEADLINE = [
 
 
 def logistic_grid(spark, sf):
-    """The reference's 54 settings on one 80/20 split of the digit stand-in."""
+    """54 settings on one 80/20 split: the published logistic grid."""
     learner = classify.logistic()
     maps = tuning.param_maps(
         learner, regParam=[0.1, 0.3, 0.01], maxIter=[10, 20, 100], elasticNetParam=[0.0, 0.5, 1.0], fitIntercept=[True, False]
@@ -43,7 +43,7 @@ def logistic_grid(spark, sf):
 
 
 def forest_grid(spark, sf):
-    """The reference's 54 forest settings x 5 folds on the digit stand-in."""
+    """54 settings x 5 folds: the published forest grid."""
     learner = classify.forest()
     maps = tuning.param_maps(
         learner, maxDepth=[5, 10, 15], maxBins=[30, 50, 100], impurity=["entropy", "gini"], numTrees=[5, 10, 20]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,7 +60,3 @@ def inverse_distances(points: Column) -> Column:
             ),
         )
     )
-
-
-def both(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

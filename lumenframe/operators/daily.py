@@ -60,11 +60,6 @@ def pct_change(daily: DataFrame, column: str, out: str) -> DataFrame:
     return changed.where(~F.col("_first")).drop("_first")
 
 
-def difference(daily: DataFrame, column: str, out: str) -> DataFrame:
-    changed = daily.withColumn(out, F.col(column) - F.lag(column).over(along()))
-    return changed.where(F.col(out).isNotNull())
-
-
 def chrono_split(daily: DataFrame, share: float = 0.8) -> DataFrame:
     """``part`` = train for the first round(share * n) rows (half to even), else test."""
     cut = F.bround(F.lit(share) * length(), 0)

@@ -17,6 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import few_tasks
 from .joins import pick_landmarks
 
 
@@ -83,7 +84,7 @@ def fold_moments(
                 names=["g", "f", "i", "v"],
             )
 
-    parts = data.mapInArrow(run, "g int, f int, i int, v array<double>")
+    parts = few_tasks(data).mapInArrow(run, "g int, f int, i int, v array<double>")
     summed = parts.groupBy("g", "f", "i").agg(Summarizer.sum(array_to_vector("v")).alias("s"))
     out: dict[tuple[int, int], np.ndarray] = {}
     for r in summed.select("g", "f", "i", vector_to_array("s").alias("v")).collect():

@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import few_tasks
+
 
 @dataclass
 class Net:
@@ -50,7 +52,8 @@ def fit(df: DataFrame, xs: list[str], y: str, hidden: int = 5, steps: int = 40,
     size = net.flat().size
     rows = df.select(
         F.array(*[F.col(c).cast("double") for c in xs]).alias("x"), F.col(y).cast("double").alias("y")
-    ).na.drop().persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    rows = few_tasks(rows.na.drop()).persist(StorageLevel.MEMORY_AND_DISK)
 
     def step_sums(net: Net) -> tuple[float, np.ndarray, int]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.special import student_two_sided
+from ..runtime import few_tasks
 
 
 def _pairs(k: int) -> list[tuple[int, int]]:
@@ -95,7 +96,7 @@ def _wide_moments(rows: DataFrame, keys: list[str], names: list[str]) -> DataFra
                     add(found, key, n, np.asarray(mean), np.asarray(spread) * n)
         yield table(found)
 
-    parts = rows.mapInPandas(partial, schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    parts = few_tasks(rows).mapInPandas(partial, schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     fewer = parts.repartition(*keys, "_salt").drop("_salt").mapInPandas(merged, schema)
     # At most 64 partials per group are left.
     whole = fewer.repartition(*keys) if keys else fewer.repartition(1)

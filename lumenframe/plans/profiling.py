@@ -81,8 +81,6 @@ def numeric_summary(spark, sf):
     return s.select("column", "min", *[F.round(c, d).alias(c) for c, d in (("q1", 6), ("median", 6), ("mean", 8), ("q3", 6))], "max")
 
 
-CENTRED = """c as (select '{c}' as "column", {c}::double - (select avg({c}) from lineitem) as d from lineitem)"""
-
 
 @query(
     "skewness",

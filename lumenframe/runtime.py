@@ -47,6 +47,17 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> Dat
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def few_tasks(df: DataFrame) -> DataFrame:
+    """At most a few tasks per core, without a shuffle.
+
+    For work where every task hands on a matrix of partial sums: those should grow with
+    the cluster, not with the number of input blocks.
+    """
+    spark = df.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.coalesce(4 * width)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
