@@ -227,3 +227,23 @@ def test_calendar_gaps(spark):
     rows = spark.createDataFrame([("a", "2024-01-01"), ("a", "2024-01-04"), ("a", "2024-01-04")], "s string, d string")
     daily = D.fill_calendar(D.daily_series(rows, F.col("s"), F.to_date("d", "yyyy-MM-dd"), y=F.count(F.lit(1)).cast("double")))
     assert [r["y"] for r in daily.orderBy("t").collect()] == [1.0, 0.0, 0.0, 2.0]
+
+
+def test_tuning_falls_back_to_one_fit_at_a_time():
+    from pyspark.errors import NumberFormatException
+
+    class Tuner:
+        parallelism = "parallelism"
+
+        def __init__(self, width):
+            self.width = width
+
+        def copy(self, extra):
+            return Tuner(extra["parallelism"])
+
+        def fit(self, rows):
+            if self.width > 1:
+                raise NumberFormatException("Cannot parse null string")
+            return rows
+
+    assert tuning._fit(Tuner(8), "rows") == "rows"
