@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -25,9 +27,10 @@ def query(name: str, sql: str | None = None, text: tuple[str, ...] = ()) -> Call
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(spark, sf_dir).withColumns({c: F.col(c).cast("string") for c in text})
 
-        QUERIES[name] = run if text else fn
+        QUERIES[name] = run
         if sql is not None:
             casts = ", ".join(f"cast({c} as varchar) as {c}" for c in text)
             ORACLE[name] = f"select * replace ({casts}) from ({sql.strip()})" if text else sql.strip()
