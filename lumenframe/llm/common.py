@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
         if not batch.num_rows:
             continue
         sizes = batch.column(text)
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(sizes), 0).to_numpy(zero_copy_only=False))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(sizes), 0).to_numpy(zero_copy_only=False))
         group = (np.cumsum(sizes) - sizes) // limit
         edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
         for start, end in zip(edges, edges[1:]):
