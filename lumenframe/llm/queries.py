@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import decontam, quality, simhash
+from . import decontam, langid, quality, simhash
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,17 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a quarter of them is held out from learning."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, learn_from=remainder(F.col("doc_id"), 4) != 2)
+    found = langid.identify(docs, model, ["doc_id"])
+    return found.select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans")
+    )
+
+
 @query
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
