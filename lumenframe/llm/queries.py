@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import decontam, langid, quality, simhash
+from . import decontam, langid, lm, quality, simhash
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,18 @@ def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_interpolated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of every document; a tenth of them is held out from counting."""
+    rest = remainder(F.col("doc_id"), 10)
+    role = F.when(rest == 0, lm.SCORED).when(rest == 1, lm.DELETED).when(rest.isNotNull(), lm.KEPT)
+    found = lm.score(table(spark, sf_dir, "documents"), role=role)
+    return found.select(
+        "doc_id", held_out(F.col("doc_id"), 10, 0).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
 @query
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
