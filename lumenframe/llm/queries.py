@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import decontam, langid, lm, quality, simhash
+from . import decontam, langid, lm, quality, simhash, warc
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,25 @@ def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives and their merged index."""
+    captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.coalesce(F.col("page_id"), F.lit(0)))
+    index = warc.archive_and_index(table(spark, sf_dir, "pages"), captured=captured)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op5_warc_capture_index"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html) as n, sha256(html) as h from p),
+f as (select h, min(page_id) as first_id from d where n >= 100 group by h)
+select page_id, n as payload_bytes, h as payload_digest,
+       case when first_id is null or page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to
+from d left join f using (h)
+"""
+
+
 @query
 def op7_interpolated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probabilities of every document; a tenth of them is held out from counting."""
