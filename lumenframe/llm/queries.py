@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import decontam, langid, lm, quality, simhash, warc
+from . import ann, decontam, langid, lm, quality, simhash, warc
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every fiftieth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op5_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through WARC archives and their merged index."""
