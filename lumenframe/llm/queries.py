@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import ann, decontam, langid, lm, quality, simhash, warc
+from . import ann, chat, decontam, langid, lm, quality, simhash, warc
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,31 @@ def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query
+def op4_chat_maximal_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered, with length and digest of each part."""
+    _, turns = chat.collapse(table(spark, sf_dir, "conversations"))
+    return chat.render(turns).select(
+        "conv_id", "part", "n_turns", F.octet_length("rendered").cast("bigint").alias("n_bytes"), F.sha2("rendered", 256).alias("rendered_sha256")
+    )
+
+
+ORACLE["op4_chat_maximal_conversations"] = r"""
+with t as (select distinct conv_id, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text from conversations),
+n as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as k,
+             count(*) over (partition by conv_id) as n,
+             '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as piece from t),
+w as (select conv_id, n, string_agg(md5(role) || md5(text), '' order by k) as s from n group by conv_id, n),
+p as (select distinct md5(string_agg(md5(role) || md5(text), '') over (partition by conv_id order by k)) as h, k
+      from n qualify k < max(n) over (partition by conv_id)),
+kept as (select min(conv_id) as conv_id from w where not exists (select 1 from p where p.k = w.n and p.h = md5(w.s))
+         group by n, s)
+select conv_id, cast(floor((k - 1) / 256) as bigint) as part, count(*) as n_turns,
+       strlen(string_agg(piece, '' order by k)) as n_bytes, sha256(string_agg(piece, '' order by k)) as rendered_sha256
+from n join kept using (conv_id) group by 1, 2
+"""
+
+
 @query
 def op5_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through WARC archives and their merged index."""
