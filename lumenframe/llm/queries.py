@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import ann, chat, decontam, langid, lm, quality, simhash, warc
+from . import ann, chat, decontam, langid, linededup, lm, quality, simhash, warc
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,43 @@ from d left join f using (h)
 """
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that stood before, exactly or at one edit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = linededup.dedup_lines(docs)
+    return found.select(
+        "doc_id", F.col("_exact").alias("n_exact"), F.col("_near").alias("n_near"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
+ORACLE["op6_line_dedup"] = r"""
+with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i
+           from documents where text is not null),
+c as (select line, length(line) as n, min((doc_id, i)) as first from l where line <> '' group by line),
+h as (select *, n // 2 as m from c where n >= 20),
+p as (select a.line as a, b.line as b, a.first as fa, b.first as fb from h a join h b
+        on b.n = a.n and left(a.line, a.m) = left(b.line, b.m) and a.line <> b.line
+      union select a.line, b.line, a.first, b.first from h a join h b
+        on b.n = a.n and right(a.line, a.n - a.m) = right(b.line, b.n - b.m) and a.line <> b.line
+      union select a.line, b.line, a.first, b.first from h a join h b
+        on b.n = a.n + 1 and left(a.line, a.m) = left(b.line, (b.n - 1) // 2)
+      union select a.line, b.line, a.first, b.first from h a join h b
+        on b.n = a.n + 1 and right(a.line, a.n - a.m) = right(b.line, b.n - 1 - (b.n - 1) // 2)),
+e as (select * from p where len(list_filter(range(1, length(b) + 1), lambda k:
+        left(b, k - 1) = left(a, k - 1) and substr(b, k + 1) = substr(a, case when length(a) = length(b) then k + 1 else k end))) > 0),
+near as (select case when fa > fb then a else b end as line from e group by 1),
+d as (select doc_id, l.i, l.line, c.first is not null and (l.doc_id, l.i) <> c.first as again, near.line is not null as late
+      from l left join c on c.line = l.line left join near on near.line = l.line),
+s as (select doc_id, count(*) filter (again) as n_exact, count(*) filter (late and not again) as n_near,
+             coalesce(string_agg(line, chr(10) order by i) filter (not again and not late), '') as kept
+      from d group by doc_id)
+select doc_id, cast(coalesce(n_exact, 0) as int) as n_exact, cast(coalesce(n_near, 0) as int) as n_near,
+       sha256(coalesce(kept, '')) as text_sha256
+from documents left join s using (doc_id)
+"""
+
+
 @query
 def op7_interpolated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probabilities of every document; a tenth of them is held out from counting."""
