@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -184,10 +183,21 @@ def _pass(docs: DataFrame, keep: list[str], text: str, index: Index) -> DataFram
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window; see ``contamination``.
+
+    Columns named ``n_words``, ``spans``, ``items`` or ``_row`` are put aside while it runs.
+    """
+    inner = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in inner.items()])
+    found = contamination(rows, benchmark, keep=list(inner.values()), text=inner[text], **options)
+    return found.where(F.size("spans") == 0).select(*[F.col(x).alias(c) for c, x in inner.items()])
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
-    doc_id: str = "doc_id",
+    keep: tuple[str, ...] | list[str] = ("doc_id",),
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
@@ -195,7 +205,7 @@ def contamination(
     k: int = 6,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """Per document: doc_id, n_words, spans (hit word ranges) and items (ids as sorted strings).
+    """Per document: ``keep``, n_words, spans (hit word ranges) and items (ids as sorted strings).
 
     A window is ``span`` consecutive words of an item, or a whole shorter item that has
     words.  Every document word inside an occurrence of a window is in a span, whatever
@@ -210,42 +220,38 @@ def contamination(
     items with a null id mark hits but are not listed; an empty benchmark marks nothing.
     Other columns are not read.
     """
-    columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    keep = list(keep)
     blocks = _blocks(benchmark, item_id, item_text, block_words)
     first = Index(next(blocks), span, k)
     second = next(blocks, None)
     if second is None:
-        return _pass(columns, ["doc_id"], "text", first)
+        return _pass(docs, keep, text, first)
     # Written once, so that the row numbers are the same in every pass.
-    rows = cut_lineage(columns.withColumn("_row", F.monotonically_increasing_id()))
-    passes = _pass(rows, ["_row", "doc_id"], "text", first)
+    rows = cut_lineage(docs.select(*keep, F.col(text).alias("_whole"), F.monotonically_increasing_id().alias("_row")))
+    first_pass = _pass(rows, ["_row", *keep], "_whole", first)
+    others = None
     while second is not None:
-        passes = passes.union(_pass(rows, ["_row", "doc_id"], "text", Index(second, span, k)))
+        one = _pass(rows, ["_row"], "_whole", Index(second, span, k)).drop("n_words")
+        others = one if others is None else others.union(one)
         second = next(blocks, None)
-    united = passes.groupBy("_row", "doc_id").agg(
-        F.first("n_words").alias("n_words"),
+    united = first_pass.select("_row", "spans", "items").union(others).groupBy("_row").agg(
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     zero = F.array().cast("array<struct<start: bigint, end: bigint>>")
 
     def step(acc, x):
-        last = F.element_at(acc, -1)
+        last = F.get(acc, F.size(acc) - 1)
         grown = F.concat(
-            F.slice(acc, 1, F.size(acc) - 1),
+            F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
             F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))),
         )
-        return F.when((F.size(acc) > 0) & (x["start"] <= F.get(acc, F.size(acc) - 1)["end"]), grown).otherwise(
-            F.concat(acc, F.array(x))
-        )
+        return F.when((F.size(acc) > 0) & (x["start"] <= last["end"]), grown).otherwise(F.concat(acc, F.array(x)))
 
-    return united.select("doc_id", "n_words", F.aggregate(F.array_sort("spans"), zero, step).alias("spans"), "items")
+    joined = F.aggregate(F.array_sort("spans"), zero, step).alias("spans")
+    return first_pass.select("_row", *keep, "n_words").join(united.select("_row", joined, "items"), "_row").drop("_row")
 
 
 def hit_words(spans: str = "spans"):
     """Number of words in the ranges."""
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda acc, s: acc + s["end"] - s["start"])
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import ann, chat, decontam, langid, linededup, lm, quality, simhash, warc
+from . import ann, chat, decontam, langid, linededup, lm, mixing, quality, simhash, warc
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,43 @@ def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, expected and drawn copies of every document under the standard mix."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    found = mixing.mixed(docs)
+    return found.select("doc_id", F.col("_words").cast("bigint").alias("n_words"), F.round("rate", 4).alias("rate"), "copies")
+
+
+def _mix_sql(rounds: int = 60) -> str:
+    """The fit unrolled: one statement per step of a round."""
+    dims = (("s", 0.5), ("l", 0.7), ("t", 1.0))
+    parts = [r"""d as (select doc_id, coalesce('=' || source, '-') as s, coalesce('=' || lang, '-') as l, n,
+        case when n = 0 then 'empty' when 10 * (length(text) - length(replace(text, '|', ''))) >= n then 'table'
+             when 10 * (length(text) - length(replace(text, '!', ''))) >= n then 'shout' when n >= 400 then 'long' else 'short' end as t
+        from (select *, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as n from documents))""",
+        "w0 as materialized (select s, l, t, sum(n) as b, cast(sum(n) as double) / (select sum(n) from d) as w from d where n > 0 group by s, l, t)"]
+    for name, power in dims:
+        parts.append(f"g_{name} as materialized (select {name}, p / sum(p) over () as share from (select {name}, pow(cast(sum(b) as double), {power}) as p from w0 group by {name}))")
+    step = 0
+    for _ in range(rounds):
+        for name, _ in dims:
+            step += 1
+            parts.append(
+                f"w{step} as materialized (select s, l, t, b, w * share / sum(w) over (partition by {name}) as w from w{step - 1} join g_{name} using ({name}))"
+            )
+    rate = "coalesce(w * (select sum(b) from w0) / b, 0)"
+    return "with " + ",\n".join(parts) + f"""
+select doc_id, n as n_words, round(rate, 4) as rate,
+       cast(floor(rate) + case when u < rate - floor(rate) then 1 else 0 end as bigint) as copies
+from (select doc_id, n, {rate} as rate,
+             cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), 'null')), 1, 13) as bigint) / 4503599627370496.0 as u
+      from d left join w{step} using (s, l, t))"""
+
+
+ORACLE["op2_mix_to_targets"] = _mix_sql(12)
+
+
 @query
 def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest vectors of every fiftieth one."""

@@ -8,7 +8,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage, lookup
@@ -44,18 +44,18 @@ def fingerprint(data: bytes | None, width: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
 
 
-def with_fingerprint(docs: DataFrame, doc_id: str, text: str, width: int = 3) -> DataFrame:
-    """(doc_id, fp) per row; a null or wordless text has fingerprint 0."""
+def with_fingerprint(docs: DataFrame, doc_id: str, text: str, width: int = 3, extra: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp) per row, and what ``extra`` names; a null or wordless text has fingerprint 0."""
+    columns = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), *[c.alias(n) for n, c in (extra or {}).items()])
+    keep = [c for c in columns.columns if c != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t, width) for t in byte_texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
+            prints = [fingerprint(t, width) for t in byte_texts(batch.column("_text"))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(prints, pa.int64())], names=[*keep, "fp"])
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, fp bigint"
-    )
+    kinds = ", ".join(f"{c} {columns.schema[c].dataType.simpleString()}" for c in keep)
+    return columns.mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def close_pairs(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,6 +201,32 @@ def linked(prints: DataFrame, radius: int = 2) -> DataFrame:
     return roots(edges).withColumnRenamed("a", "fp")
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of every group: the smallest doc_id, null last, then a hash of the text.
+
+    The winner of a group is picked on ids and hashes alone; each task puts forward its
+    best row of a group, so a group of any size is cheap.  Rows are then matched to
+    winners by id and text, and of rows that agree in both one is kept.  Columns named
+    ``_text_hash`` and ``_winner`` are reserved.
+    """
+    prints = cut_lineage(with_fingerprint(docs, doc_id, text, width, extra={"h": F.xxhash64(text)}))
+    named = prints.join(_named(prints, radius).select("fp", "root"), "fp")
+    first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "h")
+    winners = named.withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    winners = cut_lineage(winners.select(F.col("doc_id").alias("_winner"), F.col("h").alias("_of")))
+    rows = docs.withColumn("_text_hash", F.xxhash64(text))
+    match = F.col(f"`{doc_id}`").eqNullSafe(F.col("_winner")) & (F.col("_text_hash") == F.col("_of"))
+    return rows.join(winners, match, "left_semi").dropDuplicates([doc_id, "_text_hash"]).drop("_text_hash")
+
+
+def _named(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) for every fingerprint."""
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    rooted = classes.join(linked(prints, radius), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rooted.select("fp", "root").join(names, "root")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fp, root, component_id) per row of ``docs``.
 
@@ -211,8 +237,4 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are not read, so their names cannot clash.  An empty table gives an empty table.
     """
     prints = cut_lineage(with_fingerprint(docs, doc_id, text, width))
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    rooted = classes.join(linked(prints, radius), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.select("fp", "root").join(names, "root")
-    return prints.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+    return prints.join(_named(prints, radius), "fp").select("doc_id", "fp", "root", "component_id")
