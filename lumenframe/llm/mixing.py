@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..runtime import cut_lineage, lookup
 
 # Rounds go on until no margin is off by this share, and are given up after so many.
-TOLERANCE = 1e-10
+TOLERANCE = 1e-9
 MAX_ROUNDS = 200
 
 
