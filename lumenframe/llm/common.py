@@ -54,9 +54,17 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
             yield batch.slice(start, end - start)
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Join condition that takes nulls as equal."""
-    out = F.lit(True)
-    for name in names:
-        out = out & left[name].eqNullSafe(right[name])
-    return out
+def carried(docs: DataFrame, keep: list[str]) -> tuple[list[Column], list[Column]]:
+    """Columns to carry through under neutral names, and the selection that names them again.
+
+    An operator can then add columns of its own beside them without a clash.
+    """
+    inner = [f"_c{i}" for i in range(len(keep))]
+    return (
+        [F.col(f"`{c}`").alias(x) for c, x in zip(keep, inner)],
+        [F.col(x).alias(c) for c, x in zip(keep, inner)],
+    )
+
+
+def ddl(docs: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage
-from .common import byte_texts
+from .common import byte_texts, carried, ddl
 
 # Words are runs of ASCII letters and digits and of bytes beyond ASCII, A-Z lower-cased.
 _WORDS = bytes(
@@ -157,7 +157,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int) -> Iterat
     yield block
 
 
-def _pass(docs: DataFrame, keep: list[str], text: str, index: Index) -> DataFrame:
+def _pass(docs: DataFrame, keep: list[str], index: Index) -> DataFrame:
     """The wanted columns, word count, hit ranges and item ids, for one benchmark block."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
     item_names = [None if i is None else str(i) for i in index.ids]
@@ -166,7 +166,7 @@ def _pass(docs: DataFrame, keep: list[str], text: str, index: Index) -> DataFram
         known = shared.value
         for batch in batches:
             counts, spans, items = [], [], []
-            for data in byte_texts(batch.column("_text")):
+            for data in byte_texts(batch.column("_whole")):
                 n, ranges, found = known.hits(data)
                 counts.append(n)
                 spans.append([{"start": a, "end": b} for a, b in ranges])
@@ -178,20 +178,14 @@ def _pass(docs: DataFrame, keep: list[str], text: str, index: Index) -> DataFram
                 names=[*keep, "n_words", "spans", "items"],
             )
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*kinds, "n_words bigint", "spans array<struct<start: bigint, end: bigint>>", "items array<string>"])
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    schema = [ddl(docs.select(*keep)), "n_words bigint", "spans array<struct<start: bigint, end: bigint>>", "items array<string>"]
+    return docs.select(*keep, "_whole").mapInArrow(run, ", ".join(schema))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window; see ``contamination``.
-
-    Columns named ``n_words``, ``spans``, ``items`` or ``_row`` are put aside while it runs.
-    """
-    inner = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in inner.items()])
-    found = contamination(rows, benchmark, keep=list(inner.values()), text=inner[text], **options)
-    return found.where(F.size("spans") == 0).select(*[F.col(x).alias(c) for c, x in inner.items()])
+    """``docs`` without the rows that hold a benchmark window; see ``contamination``."""
+    found = contamination(docs, benchmark, keep=docs.columns, text=text, **options)
+    return found.where(F.size("spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def contamination(
@@ -218,20 +212,22 @@ def contamination(
 
     Null and empty texts have no words and no hits; repeated documents come back repeated;
     items with a null id mark hits but are not listed; an empty benchmark marks nothing.
-    Other columns are not read.
+    Kept columns may have any names but those of the result.
     """
-    keep = list(keep)
+    taken, back = carried(docs, list(keep))
+    docs = docs.select(*taken, F.col(f"`{text}`").alias("_whole"))
+    keep, back = docs.columns[:-1], [*back, "n_words", "spans", "items"]
     blocks = _blocks(benchmark, item_id, item_text, block_words)
     first = Index(next(blocks), span, k)
     second = next(blocks, None)
     if second is None:
-        return _pass(docs, keep, text, first)
+        return _pass(docs, keep, first).select(*back)
     # Written once, so that the row numbers are the same in every pass.
-    rows = cut_lineage(docs.select(*keep, F.col(text).alias("_whole"), F.monotonically_increasing_id().alias("_row")))
-    first_pass = _pass(rows, ["_row", *keep], "_whole", first)
+    rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    first_pass = _pass(rows, ["_row", *keep], first)
     others = None
     while second is not None:
-        one = _pass(rows, ["_row"], "_whole", Index(second, span, k)).drop("n_words")
+        one = _pass(rows, ["_row"], Index(second, span, k)).drop("n_words")
         others = one if others is None else others.union(one)
         second = next(blocks, None)
     united = first_pass.select("_row", "spans", "items").union(others).groupBy("_row").agg(
@@ -249,7 +245,7 @@ def contamination(
         return F.when((F.size(acc) > 0) & (x["start"] <= last["end"]), grown).otherwise(F.concat(acc, F.array(x)))
 
     joined = F.aggregate(F.array_sort("spans"), zero, step).alias("spans")
-    return first_pass.select("_row", *keep, "n_words").join(united.select("_row", joined, "items"), "_row").drop("_row")
+    return first_pass.select("_row", *keep, "n_words").join(united.select("_row", joined, "items"), "_row").select(*back)
 
 
 def hit_words(spans: str = "spans"):

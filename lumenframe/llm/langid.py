@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PIECE_BYTES, byte_texts, pieces
+from .common import PIECE_BYTES, byte_texts, carried, ddl, pieces
 
 # Hashed character trigrams and their contexts: with the languages they bound the model.
 CELLS = 1 << 15
@@ -327,17 +327,20 @@ def identify(
     only mapped over, so repeated rows and hot values of other columns change nothing.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    taken, back = carried(docs, keep)
+    rows = docs.select(*taken)
+    names = rows.columns
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text", 2 * PIECE_BYTES):
-            found = _label(byte_texts(piece.column("_text")), shared.value, switch, spans)
+        for piece in pieces(batches, "text", 2 * PIECE_BYTES):
+            found = _label(byte_texts(piece.column("text")), shared.value, switch, spans)
             lang, score, parts = zip(*found)
             yield pa.RecordBatch.from_arrays(
-                [*(piece.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(parts, span_type)],
-                names=[*keep, "lang_pred", "score", "spans"],
+                [*(piece.column(c) for c in names), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(parts, span_type)],
+                names=[*names, "lang_pred", "score", "spans"],
             )
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    schema = [*kinds, "lang_pred string", "score double", "spans array<struct<start: bigint, end: bigint, lang: string>>"]
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join(schema))
+    schema = [ddl(rows), "lang_pred string", "score double", "spans array<struct<start: bigint, end: bigint, lang: string>>"]
+    found = docs.select(*taken, F.col(f"`{text}`").alias("text")).mapInArrow(run, ", ".join(schema))
+    return found.select(*back, "lang_pred", "score", "spans")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage, lookup
+from .common import carried
 
 # Edits that two lines may differ by, and the shortest line that may have such neighbours.
 THRESHOLD = 1
@@ -19,7 +20,7 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     ``version`` tells apart texts that share a doc_id; k1 and k2 hash the line.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("version"), F.posexplode(F.split(f"`{text}`", "\n")).alias("line_no", "line"))
     rows = rows.where(F.col("line") != "")
     return rows.withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64("line", F.lit(1))})
 
@@ -197,27 +198,26 @@ def drop_lists(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     return lists.select("doc_id", "version", "exact", "near", gone.alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
-    """All columns of ``docs`` with repeated lines taken out of the text, and ``_exact`` and ``_near``.
+def dedup_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, shortest: int = SHORTEST, counts: bool = False
+) -> DataFrame:
+    """All columns of ``docs`` with repeated lines taken out of the text.
 
     Lines stand in the order of (doc_id, text version, line number).  A line is removed when the same
-    line stood before (``_exact`` counts these), or when its first appearance comes after
-    that of a line within ``threshold`` edits (``_near``; both of at least ``shortest`` characters, so
-    they agree in 95 % or more).  Other lines stay as they are and in order.
+    line stood before, or when its first appearance comes after that of a line within
+    ``threshold`` edits, both of at least ``shortest`` characters, so that they agree in 95 % or
+    more.  Other lines stay as they are and in order.  ``counts`` adds n_exact and n_near,
+    the lines removed either way.
 
     A null text stays null, empty lines stay, and a text all of whose lines are removed
     becomes empty; no row is dropped.  Rows that agree in id and text are one document
-    and get the same result.  Null ids come first in the order.  Columns named ``_version``,
-    ``_exact`` or ``_near`` are reserved.
+    and get the same result.  Null ids come first in the order.  An empty table stays empty.
     """
     drops = drop_lists(docs, doc_id, text, threshold, shortest)
-    drops = drops.select(F.col("doc_id").alias("_id"), F.col("version").alias("_of"), F.col("exact").alias("_e"), F.col("near").alias("_n"), F.col("gone").alias("_gone"))
-    rows = docs.withColumn("_version", F.xxhash64(text))
-    rows = rows.join(drops, F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_of")), "left")
-    kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.coalesce(F.get("_gone", i), F.lit(False)))
-    edited = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text)
-    return rows.select(
-        *[edited if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce("_e", F.lit(0)).alias("_exact"),
-        F.coalesce("_n", F.lit(0)).alias("_near"),
-    )
+    taken, back = carried(docs, docs.columns)
+    rows = docs.select(*taken, F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("whole"), F.xxhash64(f"`{text}`").alias("of"))
+    rows = rows.join(drops, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("version")), "left")
+    kept = F.filter(F.split("whole", "\n"), lambda line, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
+    edited = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(F.array_join(kept, "\n")).alias(text)
+    more = [F.coalesce("exact", F.lit(0)).alias("n_exact"), F.coalesce("near", F.lit(0)).alias("n_near")] if counts else []
+    return rows.select(*[edited if c == text else x for c, x in zip(docs.columns, back)], *more)

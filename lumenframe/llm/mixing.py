@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage, lookup
+from .common import carried
 
 # Rounds go on until no margin is off by this share, and are given up after so many.
 TOLERANCE = 1e-9
@@ -120,46 +121,58 @@ def rake(docs: DataFrame, margins: dict[str, Margin], tokens: Column, tolerance:
     return Mix(factors, sizes, rounds, error, total)
 
 
-def sample(docs: DataFrame, mix: Mix, margins: dict[str, Margin], doc_id: str = "doc_id", share: float = 1.0) -> DataFrame:
-    """All columns of ``docs``, with ``rate`` and ``copies`` per row.
+def sample(docs: DataFrame, mix: Mix, margins: dict[str, Margin], chosen: Column, share: float = 1.0) -> DataFrame:
+    """``docs`` with ``rate`` and ``copies`` per row.
 
     ``rate`` is the expected number of copies of a document of its combination when
     ``share`` times all tokens are drawn at the target weights.  ``copies`` is the rate
-    rounded down or up, up with the probability of its fraction, decided by a hash of the
-    id: expected tokens meet every target, nothing depends on partitioning, and the same
-    id always decides alike.  Rows without tokens have rate 0.  Only factor tables are joined,
-    so no document is shuffled while they are small.  Null values are a value of their own; null
-    ids decide as the text ``null``.
+    rounded down or up, up with the probability of its fraction: whether ``chosen``, a
+    number from 0 to 1, is below it.  Expected tokens meet every target.  Only factor
+    tables are joined, so no document is shuffled while they are small.
     """
     rows = docs.withColumns({n: _key(m.column) for n, m in margins.items()})
     rate = F.lit(float(share))
     for name in margins:
         rows = lookup(rows, mix.factors[name], [name], "left", known_rows=mix.sizes[name])
         rate = rate * F.coalesce(F.col(f"f_{name}"), F.lit(0.0))
-    chance = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")).cast("binary")), 1, 13), 16, 10)
     rows = rows.withColumn("rate", rate)
-    copies = F.floor("rate") + (chance.cast("double") / F.lit(float(1 << 52)) < F.col("rate") - F.floor("rate")).cast("long")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "rate", copies.alias("copies"))
-
-
-def by_source_language_form(source: str = "source", lang: str = "lang", text: str = "text", words: str = "_words") -> dict[str, Margin]:
-    """Margins of the standard mix: sources and languages damped, forms as they are."""
-    return {
-        "_source": Margin(F.col(source), 0.5),
-        "_lang": Margin(F.col(lang), 0.7),
-        "_topic": Margin(text_form(F.col(text), F.col(words))),
-    }
-
-
-def mixed(docs: DataFrame, margins: dict[str, Margin] | None = None, doc_id: str = "doc_id", text: str = "text", share: float = 1.0) -> DataFrame:
-    """``docs`` with ``_words`` (tokens), ``rate`` and ``copies`` under the standard mix or the given margins.
-
-    Null and empty texts have no tokens and are not drawn; an empty table gives an empty
-    table.  Columns named like a margin, ``_words``, ``rate`` or ``copies`` are reserved.
+    return rows.withColumn("copies", F.floor("rate") + (chosen < F.col("rate") - F.floor("rate")).cast("long"))
+
+
+def hashed_chance(value: Column) -> Column:
+    """A number from 0 to 1 that only depends on the value; null counts as the text ``null``."""
+    digits = F.substring(F.md5(F.coalesce(value.cast("string"), F.lit("null")).cast("binary")), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def mixed(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    lang: str = "lang",
+    margins: dict[str, Margin] | None = None,
+    share: float = 1.0,
+) -> DataFrame:
+    """All columns of ``docs``, then n_words, rate and copies under the standard mix.
+
+    The standard mix damps sources and languages and leaves forms of text as they are;
+    ``margins`` on the columns ``source``, ``lang``, ``topic`` and ``text`` replace it.
+    Rates depend on nothing but source, language and form, draws on nothing but the id.
+    Null sources and languages are values of their own; null and empty texts have no
+    tokens, rate 0 and no copies; repeated rows are drawn alike; an empty table gives an empty table.  A column of
+    the input named n_words, rate or copies is replaced.  Targets that cannot all be met are an error.
     """
-    rows = docs.withColumn("_words", word_count(F.col(text)))
-    margins = by_source_language_form(text=text) if margins is None else margins
-    mix = rake(rows, margins, F.col("_words").cast("long"))
+    keep = [c for c in docs.columns if c not in ("n_words", "rate", "copies")]
+    taken, back = carried(docs, keep)
+    rows = docs.select(
+        *taken, F.col(f"`{doc_id}`").alias("id"), F.col(f"`{source}`").alias("source"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")
+    )
+    rows = rows.withColumn("n_words", word_count(F.col("text")).cast("long"))
+    rows = rows.withColumn("topic", text_form(F.col("text"), F.col("n_words")))
+    if margins is None:
+        margins = {"by_source": Margin(F.col("source"), 0.5), "by_lang": Margin(F.col("lang"), 0.7), "by_topic": Margin(F.col("topic"))}
+    mix = rake(rows, margins, F.col("n_words"))
     if not mix.converged:
         raise ValueError(f"the targets cannot all be met: {mix.error:.2g} is left after {mix.rounds} rounds")
-    return sample(rows, mix, margins, doc_id, share)
+    return sample(rows, mix, margins, hashed_chance(F.col("id")), share).select(*back, "n_words", "rate", "copies")

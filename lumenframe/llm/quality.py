@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, pieces
+from .common import byte_texts, carried, ddl, pieces
 
 # Hashed terms, latent dimensions, and labelled rows kept: the model has a fixed size.
 TERMS = 1 << 12
@@ -202,15 +202,20 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", na
     """The columns ``keep`` and the score (0 to 1, higher: label 1 likelier) of every row.
 
     The documents are only mapped over; the model, of a fixed size, is broadcast.  Null,
-    empty and termless texts get the prior.  Repeated rows come back repeated.
+    empty and termless texts get the prior.  Repeated rows come back repeated.  Column names
+    cannot clash but for ``name`` itself, which must not be among those kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    taken, back = carried(docs, keep)
+    rows = docs.select(*taken)
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text"):
-            scores = shared.value.score([terms(data) for data in byte_texts(piece.column("_text"))], k)
-            columns = [piece.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*keep, name])
-
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, ", ".join([*kinds, f"`{name}` double"]))
+        for piece in pieces(batches, "text"):
+            scores = shared.value.score([terms(data) for data in byte_texts(piece.column("text"))], k)
+            columns = [piece.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names=[*names, "score"])
+
+    both = docs.select(*taken, F.col(f"`{text}`").alias("text"))
+    scored = both.mapInArrow(run, ", ".join([ddl(rows), "score double"]))
+    return scored.select(*back, F.col("score").alias(name))

@@ -40,7 +40,7 @@ def op2_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, expected and drawn copies of every document under the standard mix."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     found = mixing.mixed(docs)
-    return found.select("doc_id", F.col("_words").cast("bigint").alias("n_words"), F.round("rate", 4).alias("rate"), "copies")
+    return found.select("doc_id", "n_words", F.round("rate", 4).alias("rate"), "copies")
 
 
 def _mix_sql(rounds: int = 60) -> str:
@@ -126,9 +126,9 @@ from d left join f using (h)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without lines that stood before, exactly or at one edit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = linededup.dedup_lines(docs)
+    found = linededup.dedup_lines(docs, counts=True)
     return found.select(
-        "doc_id", F.col("_exact").alias("n_exact"), F.col("_near").alias("n_near"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+        "doc_id", "n_exact", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )
 
 

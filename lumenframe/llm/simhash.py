@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage, lookup
-from .common import blank_words, byte_texts
+from .common import blank_words, byte_texts, carried, ddl
 from .components import roots
 
 BITS = 64
@@ -54,8 +54,7 @@ def with_fingerprint(docs: DataFrame, doc_id: str, text: str, width: int = 3, ex
             prints = [fingerprint(t, width) for t in byte_texts(batch.column("_text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(prints, pa.int64())], names=[*keep, "fp"])
 
-    kinds = ", ".join(f"{c} {columns.schema[c].dataType.simpleString()}" for c in keep)
-    return columns.mapInArrow(run, f"{kinds}, fp bigint")
+    return columns.mapInArrow(run, f"{ddl(columns.select(*keep))}, fp bigint")
 
 
 def close_pairs(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,17 +205,17 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
 
     The winner of a group is picked on ids and hashes alone; each task puts forward its
     best row of a group, so a group of any size is cheap.  Rows are then matched to
-    winners by id and text, and of rows that agree in both one is kept.  Columns named
-    ``_text_hash`` and ``_winner`` are reserved.
+    winners by id and text, and of rows that agree in both one is kept.
     """
     prints = cut_lineage(with_fingerprint(docs, doc_id, text, width, extra={"h": F.xxhash64(text)}))
     named = prints.join(_named(prints, radius).select("fp", "root"), "fp")
     first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "h")
     winners = named.withColumn("_place", F.row_number().over(first)).where("_place = 1")
     winners = cut_lineage(winners.select(F.col("doc_id").alias("_winner"), F.col("h").alias("_of")))
-    rows = docs.withColumn("_text_hash", F.xxhash64(text))
-    match = F.col(f"`{doc_id}`").eqNullSafe(F.col("_winner")) & (F.col("_text_hash") == F.col("_of"))
-    return rows.join(winners, match, "left_semi").dropDuplicates([doc_id, "_text_hash"]).drop("_text_hash")
+    taken, back = carried(docs, docs.columns)
+    rows = docs.select(*taken, F.col(f"`{doc_id}`").alias("id"), F.xxhash64(f"`{text}`").alias("h"))
+    match = F.col("id").eqNullSafe(F.col("_winner")) & (F.col("h") == F.col("_of"))
+    return rows.join(winners, match, "left_semi").dropDuplicates(["id", "h"]).select(*back)
 
 
 def _named(prints: DataFrame, radius: int) -> DataFrame:
