@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage
@@ -182,46 +182,26 @@ def _pass(docs: DataFrame, keep: list[str], index: Index) -> DataFrame:
     return docs.select(*keep, "_whole").mapInArrow(run, ", ".join(schema))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark window; see ``contamination``."""
-    found = contamination(docs, benchmark, keep=docs.columns, text=text, **options)
-    return found.where(F.size("spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def contamination(
+def _found(
     docs: DataFrame,
     benchmark: DataFrame,
-    keep: tuple[str, ...] | list[str] = ("doc_id",),
-    text: str = "text",
+    keep: list[str],
+    text: str,
     item_id: str = "item_id",
     item_text: str = "text",
     span: int = 10,
     k: int = 6,
     block_words: int = BLOCK_WORDS,
-) -> DataFrame:
-    """Per document: ``keep``, n_words, spans (hit word ranges) and items (ids as sorted strings).
-
-    A window is ``span`` consecutive words of an item, or a whole shorter item that has
-    words.  Every document word inside an occurrence of a window is in a span, whatever
-    else surrounds it: winnowing cannot miss a shared run of ``span`` words, and each hit
-    is extended on the words themselves, so nothing is reported by hash alone.
-
-    The documents are only mapped over, so a passage that most of them hold makes no hot
-    key.  A benchmark of more than ``block_words`` words is taken in blocks, each sent to
-    the tasks in a pass of its own; ranges of one document are united afterwards.
-
-    Null and empty texts have no words and no hits; repeated documents come back repeated;
-    items with a null id mark hits but are not listed; an empty benchmark marks nothing.
-    Kept columns may have any names but those of the result.
-    """
-    taken, back = carried(docs, list(keep))
+) -> tuple[DataFrame, list[Column]]:
+    """What ``contamination`` finds, beside ``keep`` under neutral names, and those columns named again."""
+    taken, back = carried(docs, keep)
     docs = docs.select(*taken, F.col(f"`{text}`").alias("_whole"))
-    keep, back = docs.columns[:-1], [*back, "n_words", "spans", "items"]
+    keep = docs.columns[:-1]
     blocks = _blocks(benchmark, item_id, item_text, block_words)
     first = Index(next(blocks), span, k)
     second = next(blocks, None)
     if second is None:
-        return _pass(docs, keep, first).select(*back)
+        return _pass(docs, keep, first), back
     # Written once, so that the row numbers are the same in every pass.
     rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
     first_pass = _pass(rows, ["_row", *keep], first)
@@ -245,7 +225,46 @@ def contamination(
         return F.when((F.size(acc) > 0) & (x["start"] <= last["end"]), grown).otherwise(F.concat(acc, F.array(x)))
 
     joined = F.aggregate(F.array_sort("spans"), zero, step).alias("spans")
-    return first_pass.select("_row", *keep, "n_words").join(united.select("_row", joined, "items"), "_row").select(*back)
+    return first_pass.select("_row", *keep, "n_words").join(united.select("_row", joined, "items"), "_row"), back
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window; see ``contamination``.
+
+    The columns may have any names.
+    """
+    found, back = _found(docs, benchmark, docs.columns, text, **options)
+    return found.where(F.size("spans") == 0).select(*back)
+
+
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    keep: tuple[str, ...] | list[str] = ("doc_id",),
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    span: int = 10,
+    k: int = 6,
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """Per document: ``keep``, n_words, spans (hit word ranges) and items (ids as sorted strings).
+
+    A window is ``span`` consecutive words of an item, or a whole shorter item that has
+    words.  Every document word inside an occurrence of a window is in a span, whatever
+    else surrounds it: winnowing cannot miss a shared run of ``span`` words, and each hit
+    is extended on the words themselves, so nothing is reported by hash alone.
+
+    The documents are only mapped over, so a passage that most of them hold makes no hot
+    key.  A benchmark of more than ``block_words`` words is taken in blocks, each sent to
+    the tasks in a pass of its own; ranges of one document are united afterwards.
+
+    Null and empty texts have no words and no hits; repeated documents come back repeated;
+    items with a null id mark hits but are not listed; an empty benchmark marks nothing.
+    Kept columns may have any names but those of the result.
+    """
+    found, back = _found(docs, benchmark, list(keep), text, item_id, item_text, span, k, block_words)
+    return found.select(*back, "n_words", "spans", "items")
 
 
 def hit_words(spans: str = "spans"):

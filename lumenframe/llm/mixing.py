@@ -121,21 +121,21 @@ def rake(docs: DataFrame, margins: dict[str, Margin], tokens: Column, tolerance:
     return Mix(factors, sizes, rounds, error, total)
 
 
-def sample(docs: DataFrame, mix: Mix, margins: dict[str, Margin], chosen: Column, share: float = 1.0) -> DataFrame:
+def sample(docs: DataFrame, mix: Mix, margins: dict[str, Margin], tokens: Column, chosen: Column, share: float = 1.0) -> DataFrame:
     """``docs`` with ``rate`` and ``copies`` per row.
 
     ``rate`` is the expected number of copies of a document of its combination when
     ``share`` times all tokens are drawn at the target weights.  ``copies`` is the rate
     rounded down or up, up with the probability of its fraction: whether ``chosen``, a
-    number from 0 to 1, is below it.  Expected tokens meet every target.  Only factor
-    tables are joined, so no document is shuffled while they are small.
+    number from 0 to 1, is below it.  Expected tokens meet every target; rows without
+    tokens have rate 0.  Only factor tables are joined, so no document is shuffled while they are small.
     """
     rows = docs.withColumns({n: _key(m.column) for n, m in margins.items()})
     rate = F.lit(float(share))
     for name in margins:
         rows = lookup(rows, mix.factors[name], [name], "left", known_rows=mix.sizes[name])
         rate = rate * F.coalesce(F.col(f"f_{name}"), F.lit(0.0))
-    rows = rows.withColumn("rate", rate)
+    rows = rows.withColumn("rate", F.when(tokens > 0, rate).otherwise(0.0))
     return rows.withColumn("copies", F.floor("rate") + (chosen < F.col("rate") - F.floor("rate")).cast("long"))
 
 
@@ -175,4 +175,4 @@ def mixed(
     mix = rake(rows, margins, F.col("n_words"))
     if not mix.converged:
         raise ValueError(f"the targets cannot all be met: {mix.error:.2g} is left after {mix.rounds} rounds")
-    return sample(rows, mix, margins, hashed_chance(F.col("id")), share).select(*back, "n_words", "rate", "copies")
+    return sample(rows, mix, margins, F.col("n_words"), hashed_chance(F.col("id")), share).select(*back, "n_words", "rate", "copies")
