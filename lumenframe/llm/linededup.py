@@ -11,8 +11,9 @@ from .common import carried
 # Edits that two lines may differ by, and the shortest line that may have such neighbours.
 THRESHOLD = 1
 SHORTEST = 20
-# Lines that may share a segment before their neighbours are found another way.
-CROWD = 64
+# Lines that may share a segment before what they share is cut finer, and pieces of a cut.
+CROWD = 32
+PIECES = 16
 
 
 def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -68,13 +69,16 @@ def within(left: Column, right: Column, threshold: int) -> Column:
     band = 2 * threshold + 1
     full = (1 << band) - 1
     a, b = F.split(left, ""), F.split(right, "")
-
-    def step(state: Column, j: Column) -> Column:
-        sign = F.get(b, j)
-        match = sum(
-            (F.coalesce(F.get(a, F.when(j + (d - threshold) >= 0, j + (d - threshold))) == sign, F.lit(False)).cast("int") * (1 << d) for d in range(band)),
-            F.lit(0),
-        )
+    # Beside each sign of b those of a that its diagonals meet; lined up before the steps,
+    # as an expression inside them would be evaluated at every one.
+    none = F.lit(None).cast("string")
+    beside = [
+        F.concat(F.array_repeat(none, threshold - d), a) if d <= threshold else F.slice(a, d - threshold + 1, F.size(a)) for d in range(band)
+    ]
+    aligned = F.slice(F.arrays_zip(b, *beside), 1, F.size(b))
+
+    def step(state: Column, x: Column) -> Column:
+        match = sum((F.coalesce(x[str(d + 1)] == x["0"], F.lit(False)).cast("int") * (1 << d) for d in range(band)), F.lit(0))
         words = [state["e0"].bitwiseAND(match)]
         for e in range(1, threshold + 1):
             less = state[f"e{e - 1}"]
@@ -86,8 +90,7 @@ def within(left: Column, right: Column, threshold: int) -> Column:
 
     start = F.struct(*[F.lit((((1 << (e + 1)) - 1) << threshold) & full).alias(f"e{e}") for e in range(threshold + 1)])
     gap = F.char_length(left) - F.char_length(right) + threshold
-    steps = F.sequence(F.lit(0), F.char_length(right) - 1)
-    last = F.aggregate(steps, start, step, lambda s: s[f"e{threshold}"])
+    last = F.aggregate(aligned, start, step, lambda s: s[f"e{threshold}"])
     # The bit of the diagonal on which both strings end.
     bit = F.get(F.array(*[F.lit(1 << d) for d in range(band)]), F.when(gap >= 0, gap))
     return F.coalesce(last.bitwiseAND(bit) != 0, F.lit(False))
@@ -99,28 +102,75 @@ def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["k1", "k2", "line"])
 
 
-def _by_deletion(texts: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(k1, k2) of lines with an earlier neighbour at one edit, without forming pairs.
+def _middles(texts: DataFrame, crowded: DataFrame) -> DataFrame:
+    """What is left of a line beside a segment that a crowd shares, for one edit.
 
-    Lines that differ in the sign at one place agree once it is deleted: all that share
-    (place, rest) are neighbours of each other, so all but the earliest have an earlier
-    one.  A line with one sign deleted that equals another whole line is its neighbour:
-    there the whole line is compared with the earliest longer one, and each longer one
-    with the whole line.  Everything is a minimum per key, however many lines share it.
+    ``key`` stands for all that the lines of a crowd have in common, ``middle`` for the
+    rest, and ``room`` for its size in the shorter line of a pair; ``whole`` rows are as
+    long as that one, the others a sign longer.
     """
-    rows = texts.join(firsts, ["k1", "k2"]).select("k1", "k2", "first", "line")
-    place = F.explode(F.sequence(F.lit(0), F.char_length("line") - 1)).alias("place")
-    cut = rows.select("k1", "k2", "first", "line", place)
-    rest = F.concat(F.expr("substring(line, 1, place)"), F.expr("substring(line, place + 2)"))
-    cut = cut.select("k1", "k2", "first", "place", F.xxhash64(rest).alias("r1"), F.xxhash64(rest, F.lit(1)).alias("r2"))
-    swapped = cut.groupBy("place", "r1", "r2").agg(F.min("first").alias("least"))
-    changed = cut.join(swapped, ["place", "r1", "r2"]).where("least < first").select("k1", "k2")
-    whole = rows.select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), F.col("first").alias("whole"))
-    longer = cut.join(whole, ["r1", "r2"])
-    shorter = longer.groupBy("r1", "r2").agg(F.min("first").alias("least"), F.min("whole").alias("whole"))
-    return changed.union(longer.where("whole < first").select("k1", "k2")).union(
-        shorter.where("least < whole").select("r1", "r2")
-    )
+    length = F.char_length("line")
+    forms = []
+    for shorter in (0, 1):
+        for i in (0, 1):
+            _, size = _segment(length - shorter, i, 1)
+            start, _ = _segment(length, i, 1) if not shorter else (F.lit(0) if i == 0 else length - size, None)
+            key = F.xxhash64(F.lit(i), length - shorter, F.substring("line", start + 1, size))
+            middle = F.substring("line", size + 1, length) if i == 0 else F.substring("line", F.lit(1), length - size)
+            forms.append(F.struct(key.alias("key"), middle.alias("middle"), (length - shorter - size).alias("room"), F.lit(shorter == 0).alias("whole")))
+    rows = texts.select("k1", "k2", "first", F.explode(F.array(*forms)).alias("form")).select("k1", "k2", "first", "form.*")
+    return lookup(rows, crowded, ["key"], "left_semi")
+
+
+def _later(pairs: DataFrame) -> DataFrame:
+    """(k1, k2) of the line of each pair that first stands later."""
+    later = F.col("a_first") > F.col("b_first")
+    return pairs.select(F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("k1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("k2"))
+
+
+def _crowd_neighbours(rows: DataFrame) -> list[DataFrame]:
+    """(k1, k2) of lines of crowds with an earlier neighbour at one edit, however large the crowd.
+
+    The one edit lies in one of up to ``PIECES`` pieces of the middle, so two neighbours
+    agree on everything but one piece.  That agreement is the next key and the piece the
+    next middle.  A key that no crowd shares is joined into pairs; larger ones are cut
+    again.  In the end a middle has at most one sign: then all whole rows of a key are
+    neighbours, and a longer row is one of the whole row that is left when either of its
+    two signs goes.  These are minima per key, so nothing grows with the square of a crowd.
+    """
+    found = []
+    while True:
+        rows = cut_lineage(rows)
+        if not rows.limit(1).count():
+            return found
+        pieces = F.least(F.col("room"), F.lit(PIECES))
+        cut = rows.withColumn("j", F.explode(F.sequence(F.lit(0), pieces - 1)))
+        begin, end = (F.floor(F.col("room") * (F.col("j") + k) / pieces).cast("int") for k in (0, 1))
+        cut = cut.withColumn("begin", begin).withColumn("end", end)
+        after = F.char_length("middle") - F.col("room") + F.col("end")
+        head, tail = F.expr("substring(middle, 1, begin)"), F.substring("middle", after + 1, F.char_length("middle"))
+        rows = cut_lineage(cut.select(
+            "k1", "k2", "first", "whole", F.xxhash64("key", "j", head, tail).alias("key"),
+            F.substring("middle", F.col("begin") + 1, after - F.col("begin")).alias("middle"), (F.col("end") - F.col("begin")).alias("room"),
+        ))
+        last = rows.where("room <= 1")
+        least = last.where("whole").groupBy("key").agg(F.min("first").alias("least"))
+        found.append(last.where("whole").join(least, "key").where("least < first").select("k1", "k2"))
+        shrunk = F.explode(F.array_distinct(F.array(F.substring("middle", 1, 1), F.substring("middle", 2, 1))))
+        longer = last.where("not whole").select("key", "k1", "k2", "first", shrunk.alias("middle"))
+        whole = last.where("whole").select("key", "middle", F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("first").alias("w_first"))
+        met = longer.join(whole, ["key", "middle"])
+        found.append(met.where("w_first < first").select("k1", "k2"))
+        early = met.groupBy("w1", "w2").agg(F.min("first").alias("least"), F.first("w_first").alias("w_first"))
+        found.append(early.where("least < w_first").select(F.col("w1").alias("k1"), F.col("w2").alias("k2")))
+        rest = rows.where("room > 1")
+        crowded = cut_lineage(rest.groupBy("key").count().where(F.col("count") > CROWD).select("key"))
+        few = lookup(rest, crowded, ["key"], "left_anti")
+        a = few.where("whole").select("key", F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("first").alias("a_first"), F.col("middle").alias("a_middle"))
+        b = few.select("key", F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("first").alias("b_first"), F.col("middle").alias("b_middle"))
+        pairs = a.join(b, "key").where("a1 != b1 or a2 != b2")
+        found.append(_later(pairs.where(within(F.col("a_middle"), F.col("b_middle"), 1))))
+        rows = lookup(rest, crowded, ["key"], "left_semi")
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
@@ -132,8 +182,9 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Equal lines become one before anything else, so a line that is everywhere weighs as
     much as any other.  Only hashes are shuffled; the texts of candidate pairs are fetched
-    for verification.  Segments that over ``CROWD`` lines share form no pairs for a threshold
-    of one edit; those lines are compared by what is left when a sign is deleted.
+    for verification.  Segments that over ``CROWD`` lines share form no pairs at a threshold
+    of one edit: see ``_crowd_neighbours``.  At higher thresholds all lines of a segment
+    are compared.
     """
     lines = occurrences(docs, doc_id, text)
     own, probe = segment_keys(F.col("line"), threshold)
@@ -152,11 +203,10 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     near = []
     firsts = classes.select("k1", "k2", "first")
     if threshold == 1:
+        # Counted are the own segments; probes that meet a crowd are cut with it.
         crowded = cut_lineage(owned.groupBy("key").count().where(F.col("count") > CROWD).select("key"))
-        packed = lookup(probes, crowded, ["key"], "left_semi").select("k1", "k2").distinct()
-        packed = cut_lineage(packed)
-        if packed.limit(1).count():
-            near.append(_by_deletion(_texts(lines, packed), firsts))
+        members = cut_lineage(lookup(probes, crowded, ["key"], "left_semi").select("k1", "k2").distinct())
+        near += _crowd_neighbours(_middles(_texts(lines, members).join(firsts, ["k1", "k2"]), crowded))
         owned = lookup(owned, crowded, ["key"], "left_anti")
     a, b = owned.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "key"), probes.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), "key")
     pairs = a.join(b, "key").where("a1 != b1 or a2 != b2").select("a1", "a2", "b1", "b2").distinct()
@@ -167,10 +217,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     right = texts.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("line").alias("b_line"), F.col("first").alias("b_first"))
     both = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"])
     links = both.where(within(F.col("a_line"), F.col("b_line"), threshold))
-    later = F.col("a_first") > F.col("b_first")
-    near.append(
-        links.select(F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("k1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("k2"))
-    )
+    near.append(_later(links))
     late = near[0]
     for more in near[1:]:
         late = late.union(more)
