@@ -140,20 +140,21 @@ def _criteria(fit: Fit, n: int, k: int) -> tuple[float, float, float, float, flo
 
 FIT_DDL = (
     "p int, q int, n int, const double, ar array<double>, ma array<double>, se array<double>, "
-    "z array<double>, sigma2 double, loglik double, aic double, bic double, hqic double"
+    "z array<double>, sigma2 double, loglik double, aic double, bic double, hqic double, reason string"
 )
 
 
 def _pairs(daily: DataFrame, column: str, orders: list[tuple[int, int]]) -> DataFrame:
-    """One row per (series, order); rows are spread so that one series uses many tasks."""
+    """One row per (series, order): a series is shuffled once and meets its orders after that."""
     choice = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in orders]))
-    rows = series_arrays(daily, column).withColumn("_o", choice).select(SERIES, "y", "_o.p", "_o.q")
-    parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, SERIES, "p", "q")
+    return series_arrays(daily, column).withColumn("_o", choice).select(SERIES, "y", "_o.p", "_o.q")
 
 
 def fit_arma(daily: DataFrame, column: str, orders: list[tuple[int, int]]) -> DataFrame:
-    """One row per (series, order): coefficients, standard errors, information criteria."""
+    """One row per (series, order): coefficients, standard errors, information criteria.
+
+    An order that cannot be fitted has null estimates and says why in ``reason``.
+    """
     schema = T.StructType(
         [T.StructField(SERIES, daily.schema[SERIES].dataType), *T.StructType.fromDDL(FIT_DDL).fields]
     )
@@ -164,28 +165,35 @@ def fit_arma(daily: DataFrame, column: str, orders: list[tuple[int, int]]) -> Da
             out = []
             for series, y, p, q in zip(pdf[SERIES], pdf["y"], pdf["p"], pdf["q"]):
                 y = np.asarray(y, float)
-                if len(y) <= p + q + 2:
+                short = len(y) <= p + q + 2
+                if short or np.ptp(y) == 0:
+                    reason = "too few days for the order" if short else "constant series"
+                    out.append((series, p, q, len(y), *[None] * 10, reason))
                     continue
                 f = fit_one(y, p, q)
                 s2, ll, aic, bic, hqic = _criteria(f, len(y), p + q + 2)
                 spread = s2 * np.linalg.pinv(f.jacobian.T @ f.jacobian)
                 se = np.sqrt(np.clip(np.diag(spread), 0, None))
                 z = f.vector() / np.where(se > 0, se, np.nan)
-                out.append((series, p, q, len(y), f.mean, list(f.ar), list(f.ma), list(se), list(z), s2, ll, aic, bic, hqic))
+                out.append((series, p, q, len(y), f.mean, list(f.ar), list(f.ma), list(se), list(z), s2, ll, aic, bic, hqic, None))
             yield pd.DataFrame(out, columns=names)
 
     return _pairs(daily, column, orders).mapInPandas(solve, schema)
 
 
 def select_order(daily: DataFrame, column: str, max_ar: int = 4, max_ma: int = 4) -> DataFrame:
-    """(series_id, criterion, p, q): the order minimising AIC, BIC and HQIC."""
+    """(series_id, criterion, p, q): the order minimising AIC, BIC and HQIC.
+
+    Orders that could not be fitted lose against any other; a series with none has nulls.
+    """
     orders = [(p, q) for p in range(max_ar + 1) for q in range(max_ma + 1)]
     fits = fit_arma(daily, column, orders).select(
         SERIES, "p", "q", F.explode(F.map_from_arrays(
             F.array(F.lit("aic"), F.lit("bic"), F.lit("hqic")), F.array("aic", "bic", "hqic")
         )).alias("criterion", "value")
     )
-    return best_row(fits, ["p", "q", "value"], F.struct("value", "p", "q"), [SERIES, "criterion"])
+    fits = fits.withColumns({c: F.when(F.col("value").isNotNull(), F.col(c)) for c in ("p", "q")})
+    return best_row(fits, ["p", "q", "value"], F.struct(F.col("value").isNull(), "value", "p", "q"), [SERIES, "criterion"])
 
 
 def residuals(daily: DataFrame, column: str, p: int, q: int) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import cut_lineage
+
 
 def frequent_itemsets(baskets: DataFrame, items: str = "items", min_support: float = 0.1) -> DataFrame:
     """(items[], freq, support) with sorted items; repeated items in a basket count once."""
@@ -25,6 +27,7 @@ def association_rules(itemsets: DataFrame, min_confidence: float = 0.95) -> Data
     All subsets of a frequent itemset are frequent and in the table already, so the
     splits cannot outgrow what mining had to produce anyway.
     """
+    itemsets = cut_lineage(itemsets)  # used three times, and mined anew each time otherwise
     splits = itemsets.where(F.size("items") >= 2).select(
         "items",
         "support",

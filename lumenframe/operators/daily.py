@@ -21,11 +21,20 @@ def daily_series(df: DataFrame, series: Column, when: Column, **values: Column)
 
 
 def fill_calendar(daily: DataFrame, fill: float = 0.0) -> DataFrame:
-    """Add the missing days between the first and last day of each series."""
+    """Add the missing days between the first and last day of each series.
+
+    Days that are there stay as they are, nulls included; a null series id is a series.
+    """
     span = daily.groupBy(SERIES).agg(F.min("t").alias("_a"), F.max("t").alias("_b"))
-    days = span.select(SERIES, F.explode(F.sequence("_a", "_b")).alias("t"))
+    days = span.select(F.col(SERIES).alias("_series"), F.explode(F.sequence("_a", "_b")).alias("_day"))
+    rows = daily.withColumn("_there", F.lit(True))
+    joined = days.join(rows, F.col("_series").eqNullSafe(F.col(SERIES)) & (F.col("_day") == F.col("t")), "left")
+    kinds = dict(daily.dtypes)
     values = [c for c in daily.columns if c not in (SERIES, "t")]
-    return days.join(daily, [SERIES, "t"], "left").na.fill(fill, values)
+    return joined.select(
+        F.col("_series").alias(SERIES), F.col("_day").alias("t"),
+        *[F.when(F.col("_there"), F.col(c)).otherwise(F.lit(fill).cast(kinds[c])).alias(c) for c in values],
+    )
 
 
 def along() -> Window:

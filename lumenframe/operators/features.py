@@ -78,9 +78,9 @@ def dummy_names(levels: dict[str, list]) -> list[str]:
 
 
 def dummies(levels: dict[str, list]) -> dict[str, Column]:
-    """Indicator columns under those names."""
+    """Indicator columns under those names; 0 for null."""
     cells = [(c, v) for c, values in levels.items() for v in sorted(values)[1:]]
-    return {n: (F.col(c) == F.lit(v)).cast("double") for n, (c, v) in zip(dummy_names(levels), cells)}
+    return {n: F.col(c).eqNullSafe(F.lit(v)).cast("double") for n, (c, v) in zip(dummy_names(levels), cells)}
 
 
 def interactions(pairs: list[tuple[str, str]]) -> dict[str, Column]:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import cut_lineage, lookup
+
 
 def columns_except(df: DataFrame, *drop: str) -> list[str]:
     return [c for c in df.columns if c not in drop]
 
 
 def drop_sentinel(df: DataFrame, column: str, code) -> DataFrame:
-    """Drop rows whose column holds the missing code."""
-    return df.where(F.col(column) != F.lit(code))
+    """Drop rows whose column holds the missing code; a null is not that code and stays."""
+    return df.where(~F.col(column).eqNullSafe(F.lit(code)))
 
 
 def years_before(df: DataFrame, ts: str, year: int) -> DataFrame:
@@ -72,18 +74,31 @@ def melt(df: DataFrame, keys: list[str], values: list[str], out: str = "value")
 
 
 def levels(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Distinct values for a pivot; more than ``limit`` is an error, never a cut."""
+    """Distinct values as columns of a wide table; more than ``limit`` are an error, never a cut.
+
+    Only wide forms need their levels on the driver: ``one_hot_long`` and
+    ``with_factor_code`` take any number.
+    """
     found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
     if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} levels; keep it in long form")
+        raise ValueError(f"{column} has more than {limit} levels; use the long form")
     return sorted(found)
 
 
+def one_hot_long(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """(keys, level, value): one row per set indicator, for any number of levels.
+
+    A null level has no indicator; a key whose levels are all null gives no row.
+    """
+    rows = df.where(F.col(column).isNotNull())
+    return rows.groupBy(*keys, F.col(column).alias("level")).agg(F.count(F.lit(1)).alias("value"))
+
+
 def one_hot(df: DataFrame, column: str, values: list | None = None, prefix: str = "") -> DataFrame:
-    """Indicator column per level, per row (no shuffle)."""
+    """Indicator column per level, per row (no shuffle); a null level sets none."""
     values = levels(df, column) if values is None else values
     return df.select(
-        "*", *[(F.col(column) == F.lit(v)).cast("int").alias(f"{prefix}{v}") for v in values]
+        "*", *[F.col(column).eqNullSafe(F.lit(v)).cast("int").alias(f"{prefix}{v}") for v in values]
     )
 
 
@@ -96,6 +111,17 @@ def multi_hot(df: DataFrame, key: str, item: str, values: list | None = None) ->
 
 
 def with_factor_code(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Attach the alphabetical code of a factor as a constant expression."""
-    codes = F.array(*[F.lit(v) for v in levels(df, column)])
-    return df.withColumn(out, F.nullif(F.array_position(codes, F.col(column)), F.lit(0)).cast("int"))
+    """Attach the alphabetical code of a factor, from 1; null for null.
+
+    Codes are places of the distinct values in order: numbered within ranges of values
+    that Spark sorts apart, so any number of levels will do, and looked up.
+    """
+    values = df.select(F.col(column).alias("_value")).where(F.col(column).isNotNull()).distinct()
+    ranged = cut_lineage(values.repartitionByRange("_value").select("_value", F.spark_partition_id().alias("_range")))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range: at most the number of shuffle partitions.
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_value"))
+    offsets = F.broadcast(sizes.select("_range", before.alias("_before")))
+    codes = ranged.join(offsets, "_range").select(F.col("_value").alias(column), (F.col("_before") + inside).cast("int").alias(out))
+    return lookup(df, codes, [column], "left").select(*df.columns, out)

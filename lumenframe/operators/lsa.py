@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import top_per_group
-from .text import each_term, query_weights, row_total, token_array, vocabulary, weigh
+from .text import query_weights, row_total, term_counts, token_array, vocabulary, weigh
 
 DOC = "doc_id"
 ENTRIES_PER_PARTITION = 2_000_000
@@ -68,8 +68,7 @@ def word_table(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bag_of_arrays(words: DataFrame) -> DataFrame:
-    each = each_term(words.withColumnRenamed("words", "_w"), DOC, F.size("_w").alias("doc_terms"))
-    return each.groupBy(DOC, "doc_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return term_counts(words.withColumnRenamed("words", "_w"), DOC)
 
 
 def fit(words: DataFrame, n_terms: int = 5000, k: int = 25) -> SemanticIndex:
@@ -181,11 +180,12 @@ def concept_report(
     )
 
 
-def report_lines(report: DataFrame) -> Column:
+def report_lines(report: DataFrame, n_genres: int = 5) -> Column:
+    """Lines of the printed report.  Fixed values: its labels."""
     return F.concat_ws(
         "\n",
         F.concat(F.lit("Concept terms: "), "terms"),
         F.concat(F.lit("Concept docs: "), "docs"),
-        F.concat(F.lit("Top-5 frequent genres: "), "genres"),
+        F.concat(F.lit(f"Top-{n_genres} frequent genres: "), "genres"),
         F.lit(""),
     )

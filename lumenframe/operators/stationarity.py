@@ -127,9 +127,14 @@ def adf_test(daily: DataFrame, column: str, max_lags: int = 5) -> DataFrame:
                 keep = [*range(best + 1), size - 1]
                 sub = cov[np.ix_(keep, keep)]
                 beta, inverse, _ = solve_centred(sub)
-                s2 = n * (sub[-1, -1] - beta @ sub[:-1, -1]) / (n - best - 2)
-                stat = float(beta[0] / math.sqrt(s2 * inverse[0, 0] / n))
+                left = n * (sub[-1, -1] - beta @ sub[:-1, -1])
+                spread = left / (n - best - 2) * inverse[0, 0] / n if n > best + 2 else 0.0
                 crit = [sum(c / n**i for i, c in enumerate(v)) for v in ADF_CRITICAL.values()]
+                # A constant or very short series leaves no spread to divide by.
+                if not spread > 1e-18 * max(1.0, float(sub[-1, -1])) or not sub[0, 0] > 0:
+                    out.append((series, None, None, best, n, *crit, "undefined"))
+                    continue
+                stat = float(beta[0] / math.sqrt(spread))
                 p_value = adf_p_value(stat)
                 out.append((series, stat, p_value, best, n, *crit, "stationary" if p_value < 0.05 else "unit root"))
             names_out = [SERIES, "statistic", "p_value", "lags", "n", "crit_1pct", "crit_5pct", "crit_10pct", "conclusion"]
@@ -203,26 +208,30 @@ def kpss_test(daily: DataFrame, column: str, lags: int | None = None) -> DataFra
 
 
 def _kpss_p(stat: Column) -> Column:
-    """Linear between the published points, held at the ends."""
+    """Linear between the published points, held at the ends; null for an undefined statistic."""
     out = F.lit(KPSS_CRITICAL[-1][1])
     for (a, pa), (b, pb) in reversed(list(zip(KPSS_CRITICAL, KPSS_CRITICAL[1:]))):
         out = F.when(stat < b, pa + (stat - a) * ((pb - pa) / (b - a))).otherwise(out)
-    return F.when(stat <= KPSS_CRITICAL[0][0], KPSS_CRITICAL[0][1]).otherwise(out)
+    held = F.when(stat <= KPSS_CRITICAL[0][0], KPSS_CRITICAL[0][1]).otherwise(out)
+    return F.when(stat.isNotNull(), held)
 
 
 def stationarity_decision(adf: DataFrame | None, kpss: DataFrame, level: float = 0.05) -> DataFrame:
-    """Both tests in one row: the null is a unit root for ADF and stationarity for KPSS."""
+    """Both tests in one row: the null is a unit root for ADF and stationarity for KPSS.
+
+    An undefined test (a constant or very short series) decides nothing: null.
+    """
     k = kpss.select(
         SERIES,
         F.col("p_value").alias("kpss_p"),
-        F.when(F.col("p_value") < level, "not stationary").otherwise("stationary").alias("kpss"),
+        F.when(F.col("p_value") < level, "not stationary").when(F.col("p_value") >= level, "stationary").alias("kpss"),
     )
     if adf is None:
         return k
     a = adf.select(
         SERIES,
         F.col("p_value").alias("adf_p"),
-        F.when(F.col("p_value") < level, "stationary").otherwise("not stationary").alias("adf"),
+        F.when(F.col("p_value") < level, "stationary").when(F.col("p_value") >= level, "not stationary").alias("adf"),
     )
     return a.join(k, SERIES)
 

@@ -9,9 +9,13 @@ from ..runtime import lookup
 
 
 def token_array(text: Column, min_length: int = 3) -> Column:
-    """Lower-case runs of letters of at least ``min_length``."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
-    return F.filter(words, lambda w: F.length(w) >= min_length)
+    """Lower-case words of letters only, of at least ``min_length``.
+
+    A word is cut at blanks and punctuation but for apostrophes, hyphens and underscores
+    within it; one that holds anything else than letters is dropped whole.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:['’_-]+[\p{L}\p{N}]+)*"), F.lit(0))
+    return F.filter(words, lambda w: w.rlike(rf"^\p{{L}}{{{min_length},}}$"))
 
 
 def each_term(words: DataFrame, *keep: str | Column) -> DataFrame:
@@ -39,9 +43,22 @@ def lemmatised(toks: DataFrame, lemmas: DataFrame) -> DataFrame:
 
 def bag_of_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, doc_terms, term, tf); ``doc_terms`` counts every kept token of the text."""
-    words = docs.select(key, token_array(F.col(text)).alias("_w"))
-    each = each_term(words, key, F.size("_w").alias("doc_terms"))
-    return each.groupBy(key, "doc_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return term_counts(docs.select(key, token_array(F.col(text)).alias("_w")), key)
+
+
+def term_counts(words: DataFrame, key: str) -> DataFrame:
+    """(key, doc_terms, term, tf) of rows (key, _w), counted within each row: no shuffle.
+
+    The words of a text are sorted; a term's count is how far the next one starts.
+    """
+    rows = words.select(key, F.array_sort("_w").alias("_w"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
+    rows = rows.where(F.size("_w") > 0).select(key, "_w", starts.alias("_from"))
+    counted = F.transform("_from", lambda i, k: F.struct(
+        F.get("_w", i).alias("term"), (F.coalesce(F.get("_from", k + 1), F.size("_w")) - i).cast("bigint").alias("tf")
+    ))
+    each = rows.select(key, F.size("_w").alias("doc_terms"), F.explode(counted).alias("_t"))
+    return each.select(key, "doc_terms", "_t.term", "_t.tf")
 
 
 def count_terms(toks: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -122,7 +122,10 @@ def forecast_rolling(daily: DataFrame, p: int = 2, share: float = 0.2) -> DataFr
 
 
 def select_order(daily: DataFrame, max_lags: int = 10) -> DataFrame:
-    """(series_id, lags, aic, bic, hqic, fpe) on the sample common to all lag counts."""
+    """(series_id, lags, aic, bic, hqic, fpe, reason) on the sample common to all lag counts.
+
+    Lag counts that a series is too short for have nulls and a reason.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("t", *PAIR)))
     complete = daily.where(F.col("y").isNotNull() & F.col("y2").isNotNull())
     rows = complete.groupBy(SERIES).agg(ordered.alias("_o")).select(
@@ -138,6 +141,7 @@ def select_order(daily: DataFrame, max_lags: int = 10) -> DataFrame:
                 both = np.column_stack([a, b]).astype(float)
                 n = len(both) - max_lags
                 if n <= 2 * p + 1:
+                    out.append((series, int(p), None, None, None, None, "too few days for the lags"))
                     continue
                 now = both[max_lags:]
                 past = [both[max_lags - i : len(both) - i] for i in range(1, p + 1)]
@@ -153,11 +157,12 @@ def select_order(daily: DataFrame, max_lags: int = 10) -> DataFrame:
                         log_det + math.log(n) / n * free,
                         log_det + 2 * math.log(math.log(n)) / n * free,
                         ((n + used) / (n - used)) ** 2 * math.exp(log_det),
+                        None,
                     )
                 )
-            yield pd.DataFrame(out, columns=[SERIES, "lags", "aic", "bic", "hqic", "fpe"])
+            yield pd.DataFrame(out, columns=[SERIES, "lags", "aic", "bic", "hqic", "fpe", "reason"])
 
     kind = daily.schema[SERIES].dataType.simpleString()
     return tasks.repartition(parts, SERIES, "lags").mapInPandas(
-        score, f"{SERIES} {kind}, lags int, aic double, bic double, hqic double, fpe double"
+        score, f"{SERIES} {kind}, lags int, aic double, bic double, hqic double, fpe double, reason string"
     )

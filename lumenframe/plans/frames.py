@@ -33,7 +33,7 @@ def columns_except(spark, sf):
 
 @query(
     "filter_sentinel",
-    "select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem where l_returnflag <> 'N'",
+    "select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem where l_returnflag is distinct from 'N'",
 )
 def filter_sentinel(spark, sf):
     kept = X.drop_sentinel(table(spark, sf, "lineitem"), "l_returnflag", "N")

@@ -13,7 +13,7 @@ from ..runtime import cut_lineage, spread_table, table
 from .registry import query
 
 TOKENS = r"""
-tok as (select doc_id, unnest(list_filter(regexp_extract_all(lower(text), '\p{L}+'), lambda w: length(w) > 2)) as term from documents),
+tok as (select doc_id, unnest(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}]+(?:[''’_-]+[\p{L}\p{N}]+)*'), lambda w: regexp_full_match(w, '\p{L}{3,}'))) as term from documents),
 bag as (select doc_id, term, count(*) as tf from tok group by 1, 2),
 totals as (select doc_id, sum(tf) as doc_terms from bag group by 1),
 freq as (select term, count(*) as df from bag group by 1),
@@ -40,7 +40,8 @@ def lookup_join(spark, sf):
     docs = table(spark, sf, "documents")
     tops = top_per_group(docs.select("lang", "doc_id", "n_chars"), ["lang"], [F.desc("n_chars"), F.col("doc_id")], 25)
     genres = docs.select("doc_id", F.col("source").alias("genre"))
-    return tops.join(genres, "doc_id").select("lang", "rank", "doc_id", "genre")
+    # A top list: 25 rows per language.
+    return genres.join(F.broadcast(tops), "doc_id").select("lang", "rank", "doc_id", "genre")
 
 
 @query(

@@ -10,8 +10,10 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only after it was counted and found at or under this many rows.
+# A side is broadcast only after it was counted and found at or under this many rows and
+# bytes (as text).
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def session(app: str = "lumenframe", cores: int | None = None) -> SparkSession:
@@ -114,8 +116,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` is small in rows and in bytes; looks at ``max_rows + 1`` rows at most."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long"))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return rows <= max_rows and (size or 0) <= BROADCAST_BYTES
 
 
 def spread(cols: list[Column], salts: int) -> Column:

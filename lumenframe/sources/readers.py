@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Lists read by line number are small hand-made files; this is the largest accepted.
-MAX_LIST_BYTES = 64 * 1024 * 1024
-
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header.  Types are inferred (an extra pass) only if no schema is given."""
@@ -120,18 +117,23 @@ def read_ragged(
 def read_list_skipping(
     spark: SparkSession, path: str, skip: list[int], name: str = "word", encoding: str = "ISO-8859-1"
 ) -> DataFrame:
-    """First word of every line of a small list, leaving out the given line numbers.
+    """First word of every line of a list, leaving out the given line numbers of each file.
 
-    Line numbers need the whole file in one row, so the size is checked first.
+    Lines are numbered over two passes, for files of any size: lines are counted per block
+    of a file, and a line's number is its place in the block after the lines before it.
     """
-    files = spark.read.format("binaryFile").load(path)
-    largest = files.agg(F.max("length")).first()[0] or 0
-    if largest > MAX_LIST_BYTES:
-        raise ValueError(f"{path}: {largest} bytes is no small list; read it with read_words")
-    lines = files.select(
-        F.posexplode(F.split(F.decode("content", encoding), "\r?\n")).alias("line", "value")
+    meta = F.col("_metadata")
+    raw = spark.read.text(path).select(
+        meta["file_path"].alias("_file"), meta["file_block_start"].alias("_block"), "value", F.monotonically_increasing_id().alias("_id")
     )
-    kept = lines.where(~F.col("line").isin(skip) & (F.trim("value") != ""))
+    blocks = raw.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per block of a file, as many as there are tasks.
+    blocks = F.broadcast(blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+    lines = raw.join(blocks, ["_file", "_block"]).select((F.col("_id") - F.col("_first") + F.col("_before")).alias("line"), "value")
+    # The text source keeps the bytes of a line, whatever their encoding.
+    text = F.rtrim(F.decode(F.col("value").cast("binary"), encoding), F.lit("\r"))
+    kept = lines.select("line", text.alias("value")).where(~F.col("line").isin(skip) & (F.trim("value") != ""))
     return kept.select(F.get(F.split("value", " "), F.lit(0)).alias(name))
 
 
@@ -170,28 +172,30 @@ def _text(element: Column) -> Column:
 def extract_elements(
     pages: DataFrame, key: str, html: str, tag: str, class_like: str | None = None, attribute: str | None = None
 ) -> DataFrame:
-    """(key, pos, text[, attribute]) of each ``tag`` element, optionally by class regex."""
-    found = pages.select(key, F.posexplode_outer(_elements(F.col(html), tag)).alias("_at", "_el"))
-    found = found.where(F.col("_el").isNotNull())
+    """(key, pos, text[, attribute]) of each ``tag`` element, optionally by class regex.
+
+    An element ends at the first closing tag of its name: elements nested in one of the
+    same name are not told apart.
+    """
+    elements = _elements(F.col(html), tag)
     if class_like is not None:
-        found = found.where(_attribute(F.col("_el"), "class").rlike(class_like))
-        # One window partition is the elements of one page.
-        at = F.row_number().over(Window.partitionBy(key).orderBy("_at")) - 1
-    else:
-        at = F.col("_at")
+        # Filtered before they are numbered, so positions need no window.
+        elements = F.filter(elements, lambda e: _attribute(e, "class").rlike(class_like))
+    found = pages.select(key, F.posexplode_outer(elements).alias("pos", "_el")).where(F.col("_el").isNotNull())
     extra = [_attribute(F.col("_el"), attribute).alias(attribute)] if attribute else []
-    return found.select(key, at.alias("pos"), _text(F.col("_el")).alias("text"), *extra)
+    return found.select(key, "pos", _text(F.col("_el")).alias("text"), *extra)
 
 
 def paired_review_rows(
     pages: DataFrame,
     key: str = "page_id",
     html: str = "html",
-    text_tag: str = "p",
-    text_class: str = "comment",
-    score_tag: str = "div",
-    score_class: str = "i-stars__09f24__M1AR7",
-    score_attribute: str = "aria-label",
+    *,
+    text_tag: str,
+    text_class: str,
+    score_tag: str,
+    score_class: str,
+    score_attribute: str,
 ) -> DataFrame:
     """Review text with the score given by its author.
 

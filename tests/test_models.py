@@ -213,13 +213,19 @@ def test_weather_lines(spark):
     assert (r["elevationDimension"], r["speedRate"], r["dewPointTemperature"]) == (17, 4.6, 1.2)
 
 
+# Tags and classes of one site's review pages.
+REVIEWS = {
+    "text_tag": "p", "text_class": "comment", "score_tag": "div", "score_class": "i-stars__09f24__M1AR7", "score_attribute": "aria-label",
+}
+
+
 def test_reviews(spark):
     star = '<div class="i-stars__09f24__M1AR7 x" aria-label="{} star rating"></div>'
     text = '<p class="comment__09f24 css">{}</p>'
     good = "<html>" + star.format(4) + "".join(text.format(f"<b>t{i}</b>!") + star.format(i) for i in (1, 5, 3)) + star.format(2)
     bad = text.format("no score") + "<p>plain</p>"
     pages = spark.createDataFrame([(1, good), (2, bad), (3, star.format("x") + text.format("a") + star.format("y"))], "page_id int, html string")
-    got = [(r["page_id"], r["review"], r["real_score"]) for r in S.paired_review_rows(pages).orderBy("pos").collect()]
+    got = [(r["page_id"], r["review"], r["real_score"]) for r in S.paired_review_rows(pages, **REVIEWS).orderBy("pos").collect()]
     assert got == [(1, "t1!", 1), (1, "t5!", 5), (1, "t3!", 3)]
 
 
