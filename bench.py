@@ -34,17 +34,19 @@ HEADLINE = [
 def logistic_grid(spark, sf):
     """54 settings on one 80/20 split: the published logistic grid."""
     learner = classify.logistic()
+    # The published grid.
     maps = tuning.param_maps(
         learner, regParam=[0.1, 0.3, 0.01], maxIter=[10, 20, 100], elasticNetParam=[0.0, 0.5, 1.0], fitIntercept=[True, False]
     )
     train = part_of(digits(spark, sf), "train").repartition(spark.sparkContext.defaultParallelism, "vec_id")
-    model = tuning.train_validation(train, learner, MulticlassClassificationEvaluator(), maps, 0.8)
+    model = tuning.train_validation(train, "vec_id", learner, MulticlassClassificationEvaluator(), maps, 0.8)
     return tuning.scores_table(spark, model, maps)
 
 
 def forest_grid(spark, sf):
     """54 settings x 5 folds: the published forest grid."""
     learner = classify.forest()
+    # The published grid.
     maps = tuning.param_maps(
         learner, maxDepth=[5, 10, 15], maxBins=[30, 50, 100], impurity=["entropy", "gini"], numTrees=[5, 10, 20]
     )

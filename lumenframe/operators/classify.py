@@ -24,9 +24,10 @@ def tree(depth: int = 5, bins: int = 32, impurity: str = "gini", seed: int = 100
 
 
 def hashed_pipeline(features: list[str], label: str, learner, n_features: int = 1234) -> Pipeline:
-    """Mixed columns hashed into one vector, label indexed by frequency on the training rows."""
+    """Mixed columns hashed into one vector, label indexed in alphabetical order, so that
+    class 1 of a two-valued label is the later name.  An unknown label is an error."""
     hasher = FeatureHasher(inputCols=features, outputCol="features", numFeatures=n_features)
-    indexer = StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep")
+    indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
     return Pipeline(stages=[indexer, hasher, learner])
 
 

@@ -13,11 +13,11 @@ def split_share(key: Column, seed: int = 12345) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def with_split(df: DataFrame, key: str | list[str], share: float = 0.8, seed: int = 12345) -> DataFrame:
+def with_split(df: DataFrame, key: str | list[str], share: float = 0.8, seed: int = 12345, out: str = "part") -> DataFrame:
     """``part`` = train or test for every row."""
     keys = [key] if isinstance(key, str) else key
     mark = split_share(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), seed)
-    return df.withColumn("part", F.when(mark < share, "train").otherwise("test"))
+    return df.withColumn(out, F.when(mark < share, "train").otherwise("test"))
 
 
 def with_fold(df: DataFrame, key: str | list[str], folds: int, seed: int = 0, out: str = "fold") -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.special import student_two_sided
-from ..runtime import few_tasks
 
 
 def _pairs(k: int) -> list[tuple[int, int]]:
@@ -47,8 +46,16 @@ def moments(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     )
 
 
+# Groups a task holds before it hands them on.
+HELD_GROUPS = 10_000
+
+
 def _wide_moments(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """One pass: rows -> one partial per (task, group) -> merged on (group, salt) -> merged per group."""
+    """One pass: rows -> partials per (task, group) -> merged on (group, salt) -> merged per group.
+
+    A task never holds more than ``HELD_GROUPS`` groups: it hands on what it has and starts
+    again, and the last step closes a group when its sorted key has passed.
+    """
     upper = np.triu_indices(len(names))
     schema = T.StructType([
         *[rows.schema[c] for c in keys], *T.StructType.fromDDL("n bigint, mean array<double>, comoment array<double>").fields
@@ -85,22 +92,36 @@ def _wide_moments(rows: DataFrame, keys: list[str], names: list[str]) -> DataFra
                     mean = x[at].mean(0)
                     d = x[at] - mean
                     add(found, key, len(at), mean, (d.T @ d)[upper])
+            if len(found) > HELD_GROUPS:
+                yield table(found)
+                found = {}
         yield table(found)
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by key: only the last key of a batch may go on in the next."""
         found: dict = {}
+        key_of: dict = {}
         for pdf in batches:
+            last = None
             for key, at in groups(pdf):
+                name = tuple(None if k != k else k for k in key)  # a missing part equals itself
+                key_of[name] = key
                 for i in at:
                     n, mean, spread = pdf["n"].iat[i], pdf["mean"].iat[i], pdf["comoment"].iat[i]
-                    add(found, key, n, np.asarray(mean), np.asarray(spread) * n)
-        yield table(found)
+                    add(found, name, n, np.asarray(mean), np.asarray(spread) * n)
+                if at[-1] == len(pdf) - 1:
+                    last = name
+            yield table({key_of.pop(f): found.pop(f) for f in [f for f in found if f != last]})
+        yield table({key_of[f]: v for f, v in found.items()})
+
+    def by_key(table: DataFrame) -> DataFrame:
+        return table.sortWithinPartitions(*keys) if keys else table
 
-    parts = few_tasks(rows).mapInPandas(partial, schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
-    fewer = parts.repartition(*keys, "_salt").drop("_salt").mapInPandas(merged, schema)
+    parts = rows.mapInPandas(partial, schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    fewer = by_key(parts.repartition(*keys, "_salt").drop("_salt")).mapInPandas(merged, schema)
     # At most 64 partials per group are left.
     whole = fewer.repartition(*keys) if keys else fewer.repartition(1)
-    return whole.mapInPandas(merged, schema)
+    return by_key(whole).mapInPandas(merged, schema)
 
 
 def _square(tri: np.ndarray, k: int) -> np.ndarray:
@@ -137,15 +158,31 @@ FIT_FIELDS = (
 def fit(df: DataFrame, y: str, xs: list[str], keys: list[str] = [], ridge: float = 0.0) -> DataFrame:
     """Grouped OLS: one row per group with coefficients, their standard errors
     (intercept last), R2, adjusted R2 and residual deviation."""
-    found = moments(df, keys, [*xs, y])
-    k = len(xs)
+    return fit_choices(df, {"": (y, xs)}, keys, ridge).drop("choice")
+
+
+def fit_choices(
+    df: DataFrame, choices: dict[str, tuple[str, list[str]]], keys: list[str] = [], ridge: float = 0.0
+) -> DataFrame:
+    """Several regressions from one pass: a row per group and choice (target, predictors).
+
+    The moments of all columns used hold those of every choice, so the rows are read once.
+    A row that misses any of the columns is left out of all choices, which makes them
+    comparable.
+    """
+    columns = list(dict.fromkeys(c for y, xs in choices.values() for c in (*xs, y)))
+    found = moments(df, keys, columns)
+    found = found.withColumn("choice", F.explode(F.array(*[F.lit(c) for c in choices])))
+    places = {c: [columns.index(x) for x in (*xs, y)] for c, (y, xs) in choices.items()}
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                n, mean = int(r.n), np.asarray(r.mean, float)
-                cov = _square(np.asarray(r.comoment, float), k + 1)
+                at = places[r.choice]
+                k = len(at) - 1
+                n, mean = int(r.n), np.asarray(r.mean, float)[at]
+                cov = _square(np.asarray(r.comoment, float), len(columns))[np.ix_(at, at)]
                 beta, inverse, rank = solve_centred(cov, ridge)
                 sst = n * cov[k, k]
                 sse = max(n * (cov[k, k] - beta @ cov[:k, k] * 2 + beta @ cov[:k, :k] @ beta), 0.0)
@@ -162,9 +199,9 @@ def fit(df: DataFrame, y: str, xs: list[str], keys: list[str] = [], ridge: float
                 rows.append((n, both[k], list(beta), list(se), list(t), list(p), r2, adj, float(np.sqrt(s2))))
             names = ["n", "intercept", "coef", "se", "t", "p", "r2", "r2adj", "sigma"]
             out = pd.DataFrame(rows, columns=names)
-            yield pd.concat([pdf[keys].reset_index(drop=True), out], axis=1)[[*keys, *names]]
+            yield pd.concat([pdf[[*keys, "choice"]].reset_index(drop=True), out], axis=1)[[*keys, "choice", *names]]
 
-    schema = T.StructType([*[found.schema[c] for c in keys], *T.StructType.fromDDL(FIT_FIELDS).fields])
+    schema = T.StructType([*[found.schema[c] for c in (*keys, "choice")], *T.StructType.fromDDL(FIT_FIELDS).fields])
     return found.mapInPandas(solve, schema)
 
 

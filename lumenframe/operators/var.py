@@ -26,14 +26,8 @@ def with_lags(daily: DataFrame, p: int) -> DataFrame:
 
 def fit_var(daily: DataFrame, p: int) -> DataFrame:
     """(series_id, equation, const, coef[]) with coefficients ordered as ``lag_names``."""
-    rows = with_lags(daily, p)
-    fits = [
-        ols.fit(rows, y, lag_names(p), [SERIES]).select(
-            SERIES, F.lit(y).alias("equation"), "n", F.col("intercept").alias("const"), "coef", "se", "t", "p"
-        )
-        for y in PAIR
-    ]
-    return fits[0].unionByName(fits[1])
+    fits = ols.fit_choices(with_lags(daily, p), {y: (y, lag_names(p)) for y in PAIR}, [SERIES])
+    return fits.select(SERIES, F.col("choice").alias("equation"), "n", F.col("intercept").alias("const"), "coef", "se", "t", "p")
 
 
 def forecast_fixed(daily: DataFrame, p: int, share: float = 0.2) -> DataFrame:

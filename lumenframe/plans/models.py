@@ -179,16 +179,8 @@ PAIRS = [
 @query("interaction_search")
 def interaction_search(spark, sf):
     train = part_of(insurance(spark, sf), "train").withColumns(interactions(PAIRS))
-    fits = [
-        ols.fit(train, "l_extendedprice", [*CODED, "size_rng", f"{a}:{b}"]).select(
-            F.lit(f"{a}*{b}").alias("choice"), "r2", "r2adj"
-        )
-        for a, b in PAIRS
-    ]
-    out = fits[0]
-    for f in fits[1:]:
-        out = out.unionByName(f)
-    return out.orderBy(F.desc("r2"))
+    choices = {f"{a}*{b}": ("l_extendedprice", [*CODED, "size_rng", f"{a}:{b}"]) for a, b in PAIRS}
+    return ols.fit_choices(train, choices).select("choice", "r2", "r2adj").orderBy(F.desc("r2"))
 
 
 @query("lasso_cv")
@@ -216,7 +208,10 @@ def insurance_vectors(spark, sf):
 @query("regression_tree_grid")
 def regression_tree_grid(spark, sf):
     train, test = insurance_vectors(spark, sf)
-    return regress.tree_grid(train.select("label", "features"), test.select("label", "features"), [10, 20], [5, 10])
+    inner = with_split(train, ["l_orderkey", "l_linenumber"], 0.8, seed=7)
+    parts = [part_of(inner, "train"), part_of(inner, "test"), test]
+    # The grid.
+    return regress.tree_grid(*[p.select("label", "features") for p in parts], [10, 15, 20], [10, 15, 20, 25, 30])
 
 
 @query("bagged_trees")

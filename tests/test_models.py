@@ -235,21 +235,24 @@ def test_calendar_gaps(spark):
     assert [r["y"] for r in daily.orderBy("t").collect()] == [1.0, 0.0, 0.0, 2.0]
 
 
-def test_tuning_falls_back_to_one_fit_at_a_time():
+def test_only_the_fit_that_failed_runs_again():
     from pyspark.errors import NumberFormatException
 
-    class Tuner:
-        parallelism = "parallelism"
+    calls = []
 
-        def __init__(self, width):
-            self.width = width
+    def fit():
+        calls.append(1)
+        if len(calls) == 1:
+            raise NumberFormatException("Cannot parse null string")
+        return "model"
 
-        def copy(self, extra):
-            return Tuner(extra["parallelism"])
+    assert tuning._try(fit) == "model" and len(calls) == 2
 
-        def fit(self, rows):
-            if self.width > 1:
-                raise NumberFormatException("Cannot parse null string")
-            return rows
 
-    assert tuning._fit(Tuner(8), "rows") == "rows"
+def test_moments_of_many_groups(spark):
+    from lumenframe.operators import ols
+
+    rows = spark.range(600_000).selectExpr("id % 200000 as g", *[f"cast((id * {k}) % 101 as double) as x{k}" for k in (3, 5, 7, 11, 13)])
+    found = ols.moments(rows, ["g"], ["x3", "x5", "x7", "x11", "x13"])
+    row = found.agg(F.count(F.lit(1)), F.sum("n"), F.min("n"), F.max("n")).first()
+    assert tuple(row) == (200_000, 600_000, 3, 3)
