@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import top_per_group
-from .text import query_weights, row_total, term_counts, token_array, vocabulary, weigh
+from .text import each_term, lemmatised, query_weights, row_total, term_counts, token_array, vocabulary, weigh
 
 DOC = "doc_id"
 ENTRIES_PER_PARTITION = 2_000_000
@@ -62,9 +62,26 @@ class SemanticIndex:
         )
 
 
-def word_table(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, words): kept tokens of each text."""
-    return docs.select(DOC, token_array(F.col(text)).alias("words"))
+MAX_STOP_WORDS = 10_000
+
+
+def word_table(docs: DataFrame, text: str = "text", stop: list[str] | None = None, lemmas: DataFrame | None = None) -> DataFrame:
+    """(doc_id, words): kept tokens of each text, as lemmas and without stop words.
+
+    Stop words are a list of bounded size and leave within the row.  ``lemmas`` (term,
+    lemma) may have any size; a text's words are then looked up one by one and gathered
+    again.  Texts without a word left keep an empty array.
+    """
+    if len(stop or []) > MAX_STOP_WORDS:
+        raise ValueError(f"more than {MAX_STOP_WORDS} stop words")
+    rows = docs.select(DOC, F.coalesce(token_array(F.col(text)), F.array().cast("array<string>")).alias("words"))
+    if lemmas is not None:
+        each = lemmatised(each_term(rows.withColumnRenamed("words", "_w"), DOC), lemmas)
+        words = each.groupBy(DOC).agg(F.collect_list("term").alias("_kept"))
+        rows = rows.select(DOC).join(words, DOC, "left").select(DOC, F.coalesce("_kept", F.array()).alias("words"))
+    if stop:
+        rows = rows.withColumn("words", F.filter("words", lambda w: ~w.isin(stop)))
+    return rows
 
 
 def bag_of_arrays(words: DataFrame) -> DataFrame:

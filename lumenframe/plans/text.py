@@ -54,8 +54,16 @@ def query_vector(spark, sf):
     return X.query_weights(vocab, [*WORDS, "zzzunknown"]).withColumn("idf", F.round("idf", 8) + 0.0)
 
 
+# Stop words of the index, and words searched for.
+STOP = [
+    "the", "and", "that", "was", "for", "this", "with", "are", "from", "des", "les", "une", "est", "pour", "que", "und", "der",
+    "die", "das", "los", "las", "por", "para", "con", "del", "una",
+]
+SOUGHT = ["tion", "thing", "ment", "keit", "than"]
+
+
 def semantic_index(spark, sf):
-    return L.fit(L.word_table(spread_table(spark, sf, "documents", "doc_id")), n_terms=5000, k=25)
+    return L.fit(L.word_table(spread_table(spark, sf, "documents", "doc_id"), stop=STOP), n_terms=5000, k=25)
 
 
 @query("lsa_fit")
@@ -89,7 +97,7 @@ def top_genres_per_concept(spark, sf):
 
 @query("semantic_search")
 def semantic_search(spark, sf):
-    return L.search(semantic_index(spark, sf), WORDS, 25)
+    return L.search(semantic_index(spark, sf), SOUGHT, 25)
 
 
 def report(spark, sf):

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lumenframe import sources as S
-from lumenframe.operators import arma, baskets, daily, frame, stationarity, text, var
+from lumenframe.operators import arma, baskets, daily, frame, lsa, stationarity, text, var
 from lumenframe.operators.features import dummies
 from lumenframe.plans import QUERIES
 from lumenframe.runtime import ship_package
@@ -97,6 +97,14 @@ def test_words_of_letters_only(spark):
     assert "Exchange" not in text.bag_of_words(rows)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_index_without_stop_words(spark):
+    docs = spark.createDataFrame([(1, "The cats and the dogs"), (2, "and the"), (3, None)], "doc_id long, text string")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "term string, lemma string")
+    for table, want in ((None, ["cats", "dogs"]), (lemmas, ["cat", "dog"])):
+        got = {r.doc_id: sorted(r.words) for r in lsa.word_table(docs, stop=["the", "and"], lemmas=table).collect()}
+        assert got == {1: want, 2: [], 3: []}
+
+
 def test_itemsets_are_mined_once(spark):
     sets = baskets.frequent_itemsets(spark.createDataFrame([(["a", "b"],)] * 9 + [(["c"],)], "items array<string>"))
     rules = baskets.association_rules(sets, 0.5)
