@@ -87,6 +87,11 @@ def adf_test(spark, sf):
     return S.adf_test(order_days(spark, sf), "y", 5)
 
 
+@query("adf_test_of_changes")
+def adf_test_of_changes(spark, sf):
+    return S.adf_test(steady_days(spark, sf), "y", 5)
+
+
 KPSS = """
 k as (select series_id, t, y - avg(y) over (partition by series_id) as r, row_number() over (partition by series_id order by t) as i,
              count(*) over (partition by series_id) as n from {source}),
@@ -255,6 +260,14 @@ def var_forecast_fixed(spark, sf):
     return fixed.withColumns({"rmse_y": F.round("rmse_y", 7), "rmse_y2": F.round("rmse_y2", 7)})
 
 
+@query("var_forecast_fixed_by_lags")
+def var_forecast_fixed_by_lags(spark, sf):
+    """Errors of both columns for one and two lags."""
+    days = steady_days(spark, sf)
+    tables = [V.rmse(V.forecast_fixed(days, p)).withColumn("lags", F.lit(p)) for p in (1, 2)]
+    return tables[0].unionByName(tables[1])
+
+
 @query("var_forecast_rolling")
 def var_forecast_rolling(spark, sf):
     return V.rmse(V.forecast_rolling(steady_days(spark, sf), 2))

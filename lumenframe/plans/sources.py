@@ -209,6 +209,28 @@ def extract_html_elements(spark, sf):
     return S.extract_elements(table(spark, sf, "pages"), "page_id", "html", "a", attribute="href")
 
 
+@query(
+    "extract_reviews",
+    r"""select doc_id // 10 as page_id, (row_number() over (partition by doc_id // 10 order by doc_id, quality, toxic) - 1)::int as pos,
+               regexp_replace(text, '[<>]', ' ', 'g') as review, (quality + 1)::int as real_score
+        from documents join labels using (doc_id) where text is not null and quality is not null""",
+)
+def extract_reviews(spark, sf):
+    """Pages of ten labelled documents as reviews with stars, taken apart again."""
+    both = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").where("text is not null and quality is not null")
+    star = lambda n: F.concat(F.lit('<div class="stars x" aria-label="'), n.cast("string"), F.lit(' star rating"></div>'))
+    review = F.concat(
+        F.lit('<p class="comment y">'), F.regexp_replace("text", "[<>]", " "), F.lit("</p>"), star(F.col("quality") + 1)
+    )
+    rows = both.select(F.floor(F.col("doc_id") / 10).alias("page_id"), F.struct("doc_id", "quality", "toxic", review.alias("html")).alias("r"))
+    # At most ten documents of one id range stand on a page.
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["html"]), "\n")
+    pages = rows.groupBy("page_id").agg(F.concat(star(F.lit(5)), joined).alias("html"))
+    return S.paired_review_rows(
+        pages, text_tag="p", text_class="comment", score_tag="div", score_class="stars", score_attribute="aria-label"
+    )
+
+
 @query(
     "frame_with_schema",
     """select year(l_shipdate)::int as year, l_quantity::int as quantity, count(*) as n,
