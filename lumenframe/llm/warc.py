@@ -17,8 +17,9 @@ from ..runtime import cut_lineage, fresh_path, lookup
 
 # Payloads shorter than this are never stored by reference.
 SHORTEST_SHARED = 100
-# Records of one archive, captures of one merged range, and captures sent together.
-ARCHIVE_RECORDS = 1000
+# Records and, on average, payload bytes of one archive; captures of one merged range, and
+# captures sent together.
+ARCHIVE_RECORDS, ARCHIVE_BYTES = 1000, 32 << 20
 RANGE_ROWS = 50_000
 CHUNK_ROWS = 2_000
 # Keys looked at for every boundary between ranges.
@@ -79,14 +80,14 @@ def records(pages: DataFrame, page_id: str, url: str, html: str, captured: Colum
     return rows.select(F.concat(header, F.when(revisit, "").otherwise(F.col("payload"))).alias("record"))
 
 
-def write(lines: DataFrame, path: str) -> None:
-    """Compressed archives under ``path``.
+def write(lines: DataFrame, path: str, per_archive: int = ARCHIVE_RECORDS) -> None:
+    """Compressed archives of at most ``per_archive`` records under ``path``.
 
     The text writer with the end-of-record mark as line end gives exactly the record format,
     on any file system Spark can write, with its protection against retried tasks.
     """
     lines.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").option(
-        "maxRecordsPerFile", ARCHIVE_RECORDS
+        "maxRecordsPerFile", per_archive
     ).text(path)
 
 
@@ -145,7 +146,7 @@ def _name(urn: str | None) -> str | None:
 def runs(spark, path: str) -> DataFrame:
     """Captures of every archive, sorted within it: one run per archive.
 
-    An archive holds at most ``ARCHIVE_RECORDS`` records and is read whole, through Spark.
+    An archive is read whole, through Spark; ``write`` bounds its records.
     Lengths and digests of stored payloads are measured on the bytes read; a record that
     differs from what its header says is an error.
     """
@@ -317,7 +318,10 @@ def archive_and_index(
     captured = F.timestamp_seconds(F.lit(0)) if captured is None else captured
     spark = pages.sparkSession
     path = fresh_path(spark, "warc")
-    write(records(pages, page_id, url, html, captured), path)
+    # An archive is read whole, so long pages make archives of fewer records.
+    mean = pages.agg(F.avg(F.octet_length(html))).first()[0] or 0
+    per_archive = max(1, min(ARCHIVE_RECORDS, ARCHIVE_BYTES // (int(mean) + 1)))
+    write(records(pages, page_id, url, html, captured), path, per_archive)
     kind = pages.schema[page_id].dataType.simpleString()
     merged = merge(cut_lineage(runs(spark, path)))
     return merged.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
