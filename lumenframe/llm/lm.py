@@ -19,7 +19,7 @@ from .common import blank_words, byte_texts
 # Roles of a document: counted, counted but set aside while weights are learned, scored only.
 KEPT, DELETED, SCORED = 0, 1, 2
 # Words of text packed into a block, the unit of counting; n-grams one reducing task gets.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 PART_KEYS = 2_000_000
 # Weights are learned on probabilities rounded to this fraction of a binary digit.
 GRID = 4
