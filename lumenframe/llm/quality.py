@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +124,7 @@ def document_frequency(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
     return out, rows
 
 
-def _labelled_terms(docs: DataFrame, labels: DataFrame, limit: int) -> list:
+def _labelled_terms(docs: DataFrame, labels: DataFrame, limit: int) -> pa.Table:
     """Hashed terms and label of at most ``limit`` labelled documents, picked by a hash of the id.
 
     Only the picked ids, whose number is bounded, are broadcast to find their texts.
@@ -144,7 +145,7 @@ def _labelled_terms(docs: DataFrame, labels: DataFrame, limit: int) -> list:
     found = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
     found = found.mapInArrow(run, f"doc_id {kind}, label double, term array<int>, n array<int>")
     # A doc_id may be repeated in the documents: still no more than the limit.
-    return found.orderBy(F.xxhash64(F.lit("labelled"), "doc_id"), "doc_id", F.xxhash64("term", "n")).limit(limit).collect()
+    return found.orderBy(F.xxhash64(F.lit("labelled"), "doc_id"), "doc_id", F.xxhash64("term", "n")).limit(limit).toArrow()
 
 
 def train(
@@ -172,13 +173,15 @@ def train(
     frequency, n = document_frequency(docs, text)
     weights = np.log((1 + n) / (1 + frequency)) + 1e-3
     rows = _labelled_terms(texts, known, labelled)
-    marks = np.array([r["label"] for r in rows], np.float64)
+    marks = rows.column("label").to_numpy().astype(np.float64)
     prior = float(marks.mean()) if len(marks) else 0.5
-    matrix = np.zeros((len(rows), TERMS), np.float32)
-    for i, row in enumerate(rows):
-        if row["term"]:
-            t = np.array(row["term"])
-            matrix[i, t] = _weigh(t, np.array(row["n"], np.float64), weights)
+    matrix = np.zeros((len(marks), TERMS), np.float32)
+    sizes = np.asarray(pc.list_value_length(rows.column("term")))
+    term, count = (pc.list_flatten(rows.column(c)).to_numpy().astype(np.int64) for c in ("term", "n"))
+    ends = np.cumsum(sizes)
+    for i, (start, end) in enumerate(zip(ends - sizes, ends)):
+        if end > start:
+            matrix[i, term[start:end]] = _weigh(term[start:end], count[start:end].astype(np.float64), weights)
     axes = _axes(matrix, rank)
     vectors = _unit(matrix @ axes)
     voters = np.flatnonzero((vectors != 0).any(axis=1))
