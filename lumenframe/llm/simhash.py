@@ -8,7 +8,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage, lookup
@@ -203,15 +203,15 @@ def linked(prints: DataFrame, radius: int = 2) -> DataFrame:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of every group: the smallest doc_id, null last, then a hash of the text.
 
-    The winner of a group is picked on ids and hashes alone; each task puts forward its
-    best row of a group, so a group of any size is cheap.  Rows are then matched to
+    The winner of a group is picked on ids and hashes alone, as a minimum that combines
+    before the shuffle, so a group of any size is cheap.  Rows are then matched to
     winners by id and text, and of rows that agree in both one is kept.
     """
     prints = cut_lineage(with_fingerprint(docs, doc_id, text, width, extra={"h": F.xxhash64(text)}))
-    named = prints.join(_named(prints, radius).select("fp", "root"), "fp")
-    first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "h")
-    winners = named.withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    winners = cut_lineage(winners.select(F.col("doc_id").alias("_winner"), F.col("h").alias("_of")))
+    # The best row of every fingerprint combines before the shuffle, then that of every group.
+    best = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "h")).alias("best"))
+    rooted = best.join(linked(prints, radius), "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("best").alias("best"))
+    winners = cut_lineage(rooted.select(F.col("best.doc_id").alias("_winner"), F.col("best.h").alias("_of")))
     taken, back = carried(docs, docs.columns)
     rows = docs.select(*taken, F.col(f"`{doc_id}`").alias("id"), F.xxhash64(f"`{text}`").alias("h"))
     match = F.col("id").eqNullSafe(F.col("_winner")) & (F.col("h") == F.col("_of"))
