@@ -252,8 +252,8 @@ def dedup_lines(
 
     Lines stand in the order of (doc_id, text version, line number).  A line is removed when the same
     line stood before, or when its first appearance comes after that of a line within
-    ``threshold`` edits, both of at least ``shortest`` characters, so that they agree in 95 % or
-    more.  Other lines stay as they are and in order.  ``counts`` adds n_exact and n_near,
+    ``threshold`` edits, both of at least ``shortest`` characters.  The threshold does not
+    grow with the line: longer lines that agree in 95 % stay if they differ by more.  Other lines stay as they are and in order.  ``counts`` adds n_exact and n_near,
     the lines removed either way.
 
     A null text stays null, empty lines stay, and a text all of whose lines are removed
