@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package, table
-from . import ann, chat, decontam, langid, linededup, lm, mixing, quality, simhash, warc
+from . import ann, audit, bpe, chat, decontam, langid, linededup, lm, mixing, negatives, quality, simhash, warc
 from .common import held_out, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,81 @@ def op10_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source, in every order."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op11_filter_audit"] = r"""
+with t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+d as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by text) as first_id from t),
+m as (select doc_id, part,
+             case when len(w) < 200 then 1 else 0 end
+             + case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end
+             + case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) then 4 else 0 end
+             + case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end
+             + case when doc_id > first_id then 16 else 0 end as mask from d),
+g as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+      from labels group by doc_id),
+c as (select part, mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic,
+             120 * count(*) // greatest(bit_count(mask), 1) as share
+      from m left join g using (doc_id) group by part, mask),
+f as (select chr(cast(65 + i as integer)) as x, 1 << i as b from (select unnest(range(0, 5)) as i)),
+o as (select v.x || w.x || y.x || z.x || u.x as filter_order, [v.b, w.b, y.b, z.b, u.b] as bits
+      from f v join f w on w.x <> v.x join f y on y.x not in (v.x, w.x) join f z on z.x not in (v.x, w.x, y.x)
+      join f u on u.x not in (v.x, w.x, y.x, z.x)),
+s as (select filter_order, cast(step as integer) as step, bits[step] as bit, cast(coalesce(list_sum(bits[1:step - 1]), 0) as bigint) as before
+      from (select *, unnest(range(1, 6)) as step from o))
+select part, filter_order, step,
+       coalesce(sum(n) filter (mask & (before | bit) = 0), 0)::bigint as kept,
+       coalesce(sum(n) filter (mask & bit <> 0 and mask & before = 0), 0)::bigint as removed,
+       coalesce(sum(n) filter (mask & bit <> 0 and mask & before <> 0), 0)::bigint as redundant,
+       coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails,
+       coalesce(sum(good) filter (mask & bit <> 0 and mask & before = 0), 0)::bigint as good_lost,
+       coalesce(sum(toxic) filter (mask & bit <> 0 and mask & before = 0), 0)::bigint as toxic_lost,
+       coalesce(sum(share) filter (mask & bit <> 0), 0)::bigint as shapley
+from s, c group by part, filter_order, step
+"""
+
+
+@query
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Every document as ids of a public vocabulary and back."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    vocabulary = bpe.load(tokenizer)
+    ids = bpe.encode(table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
+    found = bpe.decode(ids, vocabulary, ["doc_id", "ids"])
+    return found.select(
+        "doc_id", bpe.count("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector."""
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLE["op13_hard_negatives"] = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+           from embeddings where label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, a.label = e.label as same, e.vec_id, cast(list_inner_product(a.v, e.v) as bigint) as score
+      from e a join e on e.vec_id <> a.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10
+"""

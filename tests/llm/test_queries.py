@@ -39,8 +39,8 @@ def test_whole_result(spark, name):
     assert found.count() == (docs.count() if "doc_id" in found.columns else found.select("query_id").distinct().count() * 5)
 
 
-def test_all_ten_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+def test_all_are_registered():
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline(spark):
