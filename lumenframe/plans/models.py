@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import classify, kernel_ridge, neural, ols, regress
+from ..operators import classify, kernel_ridge, neural, ols, regress, trees
 from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators.features import dummies, dummy_names, interactions, polynomial_terms, range_scale, with_fold, with_split
@@ -200,6 +200,9 @@ def polynomial_regression(spark, sf):
     return M.regression_metrics(scored, "l_extendedprice", "prediction")
 
 
+LINE = ["l_orderkey", "l_linenumber"]
+
+
 def insurance_vectors(spark, sf):
     rows = regress.vectors(insurance(spark, sf), CODED, "l_extendedprice")
     return part_of(rows, "train"), part_of(rows, "test")
@@ -208,10 +211,50 @@ def insurance_vectors(spark, sf):
 @query("regression_tree_grid")
 def regression_tree_grid(spark, sf):
     train, test = insurance_vectors(spark, sf)
-    inner = with_split(train, ["l_orderkey", "l_linenumber"], 0.8, seed=7)
+    inner = with_fold(with_split(train, LINE, 0.8, seed=7), LINE, 3)
     parts = [part_of(inner, "train"), part_of(inner, "test"), test]
     # The grid.
-    return regress.tree_grid(*[p.select("label", "features") for p in parts], [10, 15, 20], [10, 15, 20, 25, 30])
+    return regress.tree_grid(*parts, [10, 15, 20], [10, 15, 20, 25, 30])
+
+
+@query("regression_tree_pruned")
+def regression_tree_pruned(spark, sf):
+    """Complexity table of a tree, with the error of its pruned forms on the test rows."""
+    train, test = insurance_vectors(spark, sf)
+    found, nodes, falls = regress.pruning_table(train, LINE, depth=8, complexity=1e-4)
+    levels = [r["cp"] for r in found.orderBy("level").collect()]
+    errors = regress.errors_by_form([(test, nodes, [(falls, levels)])])
+    rows = [(i, e["rmse"], e["r2"]) for i, e in enumerate(errors)]
+    return found.join(F.broadcast(spark.createDataFrame(rows, "level int, test_rmse double, test_r2 double")), "level")
+
+
+@query("random_forest_oob")
+def random_forest_oob(spark, sf):
+    """Error of a forest on the rows its trees have not seen: three features at a split, as published."""
+    train, _ = insurance_vectors(spark, sf)
+    learner = regress.forest(trees=1, depth=6, subset="3")
+    nodes = trees.fit_bootstrapped(train, LINE, learner, trees=20)
+    scored = trees.out_of_bag(train, LINE, nodes, [*LINE, "label"])
+    rows = scored.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("oob_trees").alias("trees_per_row"))
+    return M.regression_metrics(scored, "label", "prediction").crossJoin(F.broadcast(rows))
+
+
+@query("forest_importance")
+def forest_importance(spark, sf):
+    train, _ = insurance_vectors(spark, sf)
+    return trees.importance(spark, trees.nodes_of(spark, regress.forest(trees=20, depth=6, subset="3").fit(train)), CODED)
+
+
+@query("bagged_trees_cv")
+def bagged_trees_cv(spark, sf):
+    train, test = insurance_vectors(spark, sf)
+    return regress.bagging_cv(train, test, LINE, folds=10, bag=25, depth=6)
+
+
+@query("bagged_trees_importance")
+def bagged_trees_importance(spark, sf):
+    train, _ = insurance_vectors(spark, sf)
+    return trees.importance(spark, trees.nodes_of(spark, regress.bagging(25, 6).fit(train)), CODED)
 
 
 @query("bagged_trees")
