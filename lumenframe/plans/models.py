@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import classify, kernel_ridge, neural, ols, regress, trees
+from ..operators import classify, kernel_ridge, kernel_solver, neural, ols, regress, trees
 from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators.features import dummies, dummy_names, interactions, polynomial_terms, range_scale, with_fold, with_split
@@ -295,6 +295,16 @@ def kernel_ridge_fit(spark, sf):
     return M.regression_metrics(scored, "energy", "prediction")
 
 
+@query("kernel_ridge_exact")
+def kernel_ridge_exact(spark, sf):
+    """Weights over all training rows, scored on the test rows, with the steps the solver took."""
+    rows = energies(spark, sf)
+    train, test = part_of(rows, "train"), part_of(rows, "test")
+    solution, about = kernel_solver.solve(train, "vec_id", "descriptor", "energy", 1e-4, 0.04, m=200)
+    scored = test.join(kernel_solver.predict(test, "vec_id", "descriptor", solution, about), "vec_id")
+    return M.regression_metrics(scored, "energy", "prediction").withColumns({"steps": F.lit(about["steps"]), "residual": F.lit(about["error"])})
+
+
 @query(
     "kernel_ridge_predict",
     f"""with {ATOMS}, d as (select vec_id, list(inverse order by i, j) as x from pairs group by 1),
