@@ -1,52 +1,70 @@
 """Latent semantic index: truncated SVD of the tf-idf matrix and search over it.
 
-The SVD itself is Spark's.  Only the term side (vocabulary x concepts, both
-parameters) is ever local; the document side stays a keyed table, obtained by
-projecting the long tf-idf table on the term factors.
+The SVD is a randomised block Krylov iteration: every pass multiplies a thin block by the
+matrix and its transpose, document by document, and hands on sums of the size of the
+block.  Only the term side (vocabulary x concepts, both parameters) is ever local; the
+document side stays a keyed table, and its factors are a projection row by row, without
+a shuffle.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
-from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import cut_lineage, few_tasks
 from .ordering import top_per_group
-from .text import each_term, lemmatised, query_weights, row_total, term_counts, token_array, vocabulary, weigh
+from .text import each_term, lemmatised, query_weights, row_total, term_counts, token_array, vocabulary
 
 DOC = "doc_id"
-ENTRIES_PER_PARTITION = 2_000_000
+# Matrix entries of a dense block of documents inside a task.
+ENTRIES = 1 << 22
+# Passes at most, and the residual of a concept, as a share of its eigenvalue, that ends them.
+MAX_PASSES = 12
+TOLERANCE = 1e-6
 
 
 @dataclass
 class SemanticIndex:
-    """Tables of the index: ``terms`` (term, term_id, df, idf, v), ``weights`` (long tf-idf)
-    and the singular values."""
+    """Tables of the index: ``terms`` (term, term_id, df, idf, v) and ``rows`` (doc_id, ids, weights:
+    the tf-idf of a document's terms), the term factors and the singular values."""
 
     terms: DataFrame
-    weights: DataFrame
+    rows: DataFrame
+    factors: np.ndarray
     singular: list[float]
 
     @property
     def k(self) -> int:
         return len(self.singular)
 
+    @property
+    def weights(self) -> DataFrame:
+        """(doc_id, term_id, weight): the tf-idf matrix in long form."""
+        each = F.explode(F.arrays_zip("ids", "weights")).alias("e")
+        return self.rows.select(DOC, each).select(DOC, F.col("e.ids").alias("term_id"), F.col("e.weights").alias("weight"))
+
     def scaled_documents(self) -> DataFrame:
-        """(doc_id, us): rows of U * s, as weights x V grouped by document."""
-        v = F.broadcast(self.terms.select("term", "v"))  # at most the vocabulary size
-        parts = self.weights.select(DOC, "term", "weight").join(v, "term")
-        sums = parts.groupBy(DOC).agg(
-            *[F.sum(F.col("weight") * F.get("v", F.lit(c))).alias(f"c{c}") for c in range(self.k)]
-        )
-        return sums.select(DOC, F.array(*[f"c{c}" for c in range(self.k)]).alias("us"))
+        """(doc_id, us): rows of U * s, as weights x V; documents without a known term have none."""
+        v = self.rows.sparkSession.sparkContext.broadcast(self.factors)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = np.zeros((b.num_rows, v.value.shape[1]))
+                for start, dense in _dense(b, len(v.value)):
+                    found[start : start + len(dense)] = dense @ v.value
+                yield pa.RecordBatch.from_arrays([b.column(DOC), pa.array(list(found), pa.list_(pa.float64()))], names=[DOC, "us"])
+
+        kind = self.rows.schema[DOC].dataType.simpleString()
+        return self.rows.where(F.size("ids") > 0).mapInArrow(run, f"{DOC} {kind}, us array<double>")
 
     def documents(self) -> DataFrame:
         """(doc_id, u): rows of U."""
@@ -88,42 +106,110 @@ def bag_of_arrays(words: DataFrame) -> DataFrame:
     return term_counts(words.withColumnRenamed("words", "_w"), DOC)
 
 
+def _dense(batch: pa.RecordBatch, n_terms: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Dense blocks of bounded size of a batch of (ids, weights), each with the place of its first row."""
+    sizes = np.asarray(pc.list_value_length(batch.column("ids")))
+    ids, weights = (pc.list_flatten(batch.column(c)).to_numpy(zero_copy_only=False) for c in ("ids", "weights"))
+    ends = np.cumsum(sizes)
+    step = max(1, ENTRIES // max(n_terms, 1))
+    for start in range(0, len(sizes), step):
+        own = sizes[start : start + step]
+        low, high = ends[start] - sizes[start], ends[min(start + step, len(sizes)) - 1]
+        dense = np.zeros((len(own), n_terms))
+        dense[np.repeat(np.arange(len(own)), own), ids[low:high]] = weights[low:high]
+        yield start, dense
+
+
+def indexed(words: DataFrame, names: list[str], idf: list[float]) -> DataFrame:
+    """(doc_id, ids, weights): the terms of every document that are in the vocabulary, by id, with
+    idf * tf / all words of the text."""
+    shared = words.sparkSession.sparkContext.broadcast((pa.array(names, pa.string()), np.array(idf)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weight = shared.value
+        n = max(len(known), 1)
+        for b in batches:
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(b.column("words")), 0))
+            found = pc.index_in(pc.list_flatten(b.column("words")), value_set=known)
+            held = np.asarray(pc.is_valid(found))
+            place = np.repeat(np.arange(len(sizes)), sizes)[held] * n + np.asarray(pc.drop_null(found))
+            cells, counts = np.unique(place, return_counts=True)
+            row, term = cells // n, cells % n
+            offsets = pa.array(np.searchsorted(row, np.arange(len(sizes) + 1)), pa.int32())
+            values = counts / sizes[row] * weight[term] if len(cells) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(DOC), pa.ListArray.from_arrays(offsets, pa.array(term, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(values, pa.float64()))],
+                names=[DOC, "ids", "weights"],
+            )
+
+    kind = words.schema[DOC].dataType.simpleString()
+    return words.select(DOC, "words").mapInArrow(run, f"{DOC} {kind}, ids array<int>, weights array<double>")
+
+
+def gram_product(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+    """A'(A block) for the matrix A of all documents: one pass, sums of the block's size."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros_like(shared.value)
+        for b in batches:
+            for _, dense in _dense(b, len(total)):
+                total += dense.T @ (dense @ shared.value)
+        held = np.flatnonzero((total != 0).any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(list(total[held]), pa.list_(pa.float64()))], names=["i", "v"])
+
+    parts = few_tasks(rows.select("ids", "weights")).mapInArrow(run, "i int, v array<double>")
+    summed = parts.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v"))
+    out = np.zeros_like(block)
+    for r in summed.toLocalIterator():  # one row per term
+        out[r["i"]] = r["v"]
+    shared.destroy()
+    return out
+
+
+def leading_factors(rows: DataFrame, n_terms: int, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest singular values and right singular vectors, by block Krylov iteration.
+
+    Every pass adds the product of the last block, made orthogonal to all before, to the
+    basis; the best approximation within the whole basis converges much faster than the
+    last block alone.  Passes end when each of the k has a small residual.
+    """
+    width = min(2 * k + 10, n_terms)
+    block = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0]
+    basis, images = np.zeros((n_terms, 0)), np.zeros((n_terms, 0))
+    for _ in range(MAX_PASSES):
+        image = gram_product(rows, block)
+        basis, images = np.hstack([basis, block]), np.hstack([images, image])
+        small = basis.T @ images
+        values, turn = np.linalg.eigh((small + small.T) / 2)
+        values, turn = values[::-1][:k], turn[:, ::-1][:, :k]
+        v = basis @ turn
+        left = np.linalg.norm(images @ turn - v * values, axis=0)
+        if (left <= TOLERANCE * np.maximum(values, TOLERANCE * values[0])).all() or basis.shape[1] >= n_terms:
+            break
+        for _ in range(2):  # twice is enough to make it orthogonal in double precision
+            image = image - basis @ (basis.T @ image)
+            image = np.linalg.qr(image)[0]
+        block = image[:, : min(width, n_terms - basis.shape[1])]
+    return np.sqrt(np.maximum(values, 0.0)), v
+
+
 def fit(words: DataFrame, n_terms: int = 5000, k: int = 25) -> SemanticIndex:
     """Index documents given as (doc_id, words)."""
-    bag = bag_of_arrays(words)
-    vocab = vocabulary(bag, row_total(words), n_terms)
+    vocab = vocabulary(bag_of_arrays(words), row_total(words), n_terms)
     local = vocab.orderBy("term_id").collect()  # at most n_terms rows
     names, idf = [r["term"] for r in local], [float(r["idf"]) for r in local]
-
-    spark = words.sparkSession
-    scaled = words.withColumn("_inverse", 1 / F.greatest(F.size("words"), F.lit(1)))
-    for stage in (
-        CountVectorizerModel.from_vocabulary(names, "words", "_tf"),
-        Interaction(inputCols=["_inverse", "_tf"], outputCol="_share"),
-        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_share", outputCol="vector"),
-    ):
-        scaled = stage.transform(scaled)
-    rows = MLUtils.convertVectorColumnsFromML(scaled.select(F.col(DOC).alias("index"), "vector"), "vector")
-    # The solver runs many short jobs over these rows: pack a small matrix into few
-    # partitions.  The document frequencies add up to its number of entries.
-    needed = max(1, math.ceil(sum(r["df"] for r in local) / ENTRIES_PER_PARTITION))
-    if needed < int(spark.conf.get("spark.sql.shuffle.partitions")):
-        rows = rows.repartition(needed, "index")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        svd = IndexedRowMatrix(rows, numCols=len(names)).computeSVD(min(k, len(names)), computeU=False)
-        v, s = np.asarray(svd.V.toArray()), [float(x) for x in svd.s]
-    finally:
-        rows.unpersist()
-    # Signs are arbitrary: make the largest entry of every concept positive.
-    peak = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
-    v = v * np.where(peak < 0, -1.0, 1.0)
-    terms = spark.createDataFrame(
+    rows = cut_lineage(indexed(words, names, idf))
+    s, v = leading_factors(rows, len(names), min(k, len(names))) if names else (np.zeros(0), np.zeros((0, 0)))
+    if names:
+        # Signs are arbitrary: make the largest entry of every concept positive.
+        peak = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
+        v = v * np.where(peak < 0, -1.0, 1.0)
+    terms = words.sparkSession.createDataFrame(
         [(n, i, int(r["df"]), idf[i], [float(x) for x in v[i]]) for i, (n, r) in enumerate(zip(names, local))],
         "term string, term_id int, df bigint, idf double, v array<double>",
     )
-    # Weights use the fitted vocabulary, so the table is planned once and reused.
-    return SemanticIndex(terms, weigh(bag, terms.drop("v")), s)
+    return SemanticIndex(terms, rows, v, [float(x) for x in s])
 
 
 def _long(df: DataFrame, keep: list[str], vector: str) -> DataFrame:

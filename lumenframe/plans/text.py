@@ -62,8 +62,15 @@ STOP = [
 SOUGHT = ["tion", "thing", "ment", "keit", "than"]
 
 
+_INDEXES: dict[tuple[str, str], L.SemanticIndex] = {}
+
+
 def semantic_index(spark, sf):
-    return L.fit(L.word_table(spread_table(spark, sf, "documents", "doc_id"), stop=STOP), n_terms=5000, k=25)
+    """The index of a folder's documents: fitted once per application, its tables in the shared folder."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _INDEXES:
+        _INDEXES[key] = L.fit(L.word_table(spread_table(spark, sf, "documents", "doc_id"), stop=STOP), n_terms=5000, k=25)
+    return _INDEXES[key]
 
 
 @query("lsa_fit")
