@@ -23,12 +23,17 @@ def tree(depth: int = 5, bins: int = 32, impurity: str = "gini", seed: int = 100
     return DecisionTreeClassifier(maxDepth=depth, maxBins=bins, impurity=impurity, seed=seed)
 
 
-def hashed_pipeline(features: list[str], label: str, learner, n_features: int = 1234) -> Pipeline:
+def hashed_features(features: list[str], label: str, n_features: int = 1234) -> Pipeline:
     """Mixed columns hashed into one vector, label indexed in alphabetical order, so that
     class 1 of a two-valued label is the later name.  An unknown label is an error."""
     hasher = FeatureHasher(inputCols=features, outputCol="features", numFeatures=n_features)
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
-    return Pipeline(stages=[indexer, hasher, learner])
+    return Pipeline(stages=[indexer, hasher])
+
+
+def hashed_pipeline(features: list[str], label: str, learner, n_features: int = 1234) -> Pipeline:
+    """``hashed_features`` and a learner on them."""
+    return Pipeline(stages=[*hashed_features(features, label, n_features).getStages(), learner])
 
 
 def text_classifier(n_features: int = 1 << 16, reg: float = 0.01, iterations: int = 30) -> Pipeline:

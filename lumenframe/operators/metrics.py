@@ -89,17 +89,21 @@ def threshold_curve(df: DataFrame, score: str, positive: Column) -> DataFrame:
     )
 
 
-def area_under_roc(df: DataFrame, score: str, positive: Column) -> DataFrame:
-    """Exact area from average ranks of the positives; no threshold binning."""
-    ranked = running_totals(_score_counts(df, score, positive), [], "score", ["n", "pos"])
+def area_under_roc(df: DataFrame | None, score: str, positive: Column | None, by: list[str] = [], counts: DataFrame | None = None) -> DataFrame:
+    """Exact area from average ranks of the positives; no threshold binning.
+
+    ``counts`` (by, score, n, pos) may be given in place of rows.
+    """
+    counts = _score_counts(df, score, positive) if counts is None else counts
+    ranked = running_totals(counts, by, "score", ["n", "pos"])
     rank = F.col("below_n") + (F.col("n") + 1) / 2
-    sums = ranked.agg(
+    sums = ranked.groupBy(*by).agg(
         F.sum(F.col("pos") * rank).alias("r"),
         F.sum("pos").cast("double").alias("p"),
         F.sum(F.col("n") - F.col("pos")).cast("double").alias("q"),
     )
     p, q = F.col("p"), F.col("q")
-    return sums.select(((F.col("r") - p * (p + 1) / 2) / F.nullif(p * q, F.lit(0.0))).alias("auc"))
+    return sums.select(*by, ((F.col("r") - p * (p + 1) / 2) / F.nullif(p * q, F.lit(0.0))).alias("auc"))
 
 
 def regression_metrics(df: DataFrame, truth: str, predicted: str, by: list[str] = []) -> DataFrame:

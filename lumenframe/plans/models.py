@@ -101,18 +101,23 @@ def area_under_roc_of_model(spark, sf):
     return M.area_under_roc(scored, "p", F.col("label") == 1)
 
 
-@query("random_forest_regressor")
-def random_forest_regressor(spark, sf):
-    """All years before the last one train, the last one tests; sizes of both are reported."""
+def last_year_apart(spark, sf):
+    """Training rows of all years before the last one, test rows of the last one."""
     items = spread_table(spark, sf, "lineitem", "l_orderkey").select(
         F.month("l_shipdate").alias("month"), F.dayofmonth("l_shipdate").alias("day"),
-        "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice",
+        "l_shipdate", "l_orderkey", "l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice",
     )
     xs = ["month", "day", "l_quantity", "l_discount", "l_tax", "l_linenumber"]
     rows = regress.vectors(items, xs, "l_extendedprice")
     year = items.agg(F.max(F.year("l_shipdate"))).first()[0]
     newest = F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")
-    train, test = rows.where(~newest), rows.where(newest)
+    return rows.where(~newest), rows.where(newest)
+
+
+@query("random_forest_regressor")
+def random_forest_regressor(spark, sf):
+    """All years before the last one train, the last one tests; sizes of both are reported."""
+    train, test = last_year_apart(spark, sf)
     model = regress.forest(trees=10, depth=6).fit(train)
     metrics = M.regression_metrics(model.transform(test), "label", "prediction")
     return metrics.withColumnRenamed("n", "n_test").withColumn("n_train", F.lit(train.count()))
