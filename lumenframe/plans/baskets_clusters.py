@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import baskets as B
 from ..operators import clusters as C
+from ..operators import ward
 from ..operators import udfs as U
 from ..operators.features import standardize
 from ..runtime import spread_table, table
@@ -75,6 +76,15 @@ def cf_global_clusters(spark, sf):
     return C.label_points(rows, cells, columns, fine)
 
 
+@query("cf_ward_clusters")
+def cf_ward_clusters(spark, sf):
+    """Every point with one of 100 clusters, merged from the subclusters by Ward's criterion."""
+    columns, fine = ["vec_1", "vec_2"], 0.05
+    rows = points(spark, sf)
+    cells = ward.clusters(C.subclusters(rows, columns, fine), columns, 100)
+    return C.label_points(rows, cells, columns, fine)
+
+
 @query("cluster_counts", f"with {CELLS} select count(*) as clusters, sum(n)::bigint as points, max(n) as largest from cells")
 def cluster_counts(spark, sf):
     return C.cluster_counts(C.subclusters(points(spark, sf), ["vec_1", "vec_2"], 0.5))

@@ -271,7 +271,7 @@ def bagged_trees(spark, sf):
 @query("model_tree")
 def model_tree(spark, sf):
     train, test = insurance_vectors(spark, sf)
-    return M.regression_metrics(regress.model_tree(train, test, CODED, 3), "label", "prediction")
+    return M.regression_metrics(regress.model_tree(train, test, CODED), "label", "prediction")
 
 
 @query("mlp_regressor")
@@ -330,7 +330,7 @@ def compare_trained_models(spark, sf):
     scored = {
         "Linear Model": ols.predict(test, ols.fit(train, y, CODED), CODED),
         "Regression Tree": regress.tree(20, 8).fit(train).transform(test),
-        "M5": regress.model_tree(train, test, CODED, 3),
+        "M5": regress.model_tree(train, test, CODED),
         "Random Forest": regress.forest(10, 6).fit(train).transform(test),
     }
     return M.compare_models(scored, y)
