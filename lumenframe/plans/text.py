@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import sources as S
 from ..operators import lsa as L
+from ..operators import ordinal
 from ..operators import text as X
 from ..operators.classify import text_classifier
 from ..operators.features import with_split
@@ -136,3 +137,14 @@ def text_scorer(spark, sf):
         (F.col("prediction").cast("int") + 1).alias("score"),
         F.get(vector_to_array("probability"), F.lit(1)).alias("probability"),
     )
+
+
+@query("ordered_text_scores")
+def ordered_text_scores(spark, sf):
+    """One of four ordered scores for every text: low quality or high, toxic or not within each."""
+    docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", X.token_array(F.col("text")).alias("words"))
+    level = 1 + 2 * F.max("quality") + F.when(F.max("toxic") == 1, 0).otherwise(1)
+    labels = table(spark, sf, "labels").groupBy("doc_id").agg(level.alias("level"))
+    train = with_split(docs.join(labels, "doc_id"), "doc_id", 0.8).where("part = 'train'")
+    model = ordinal.fit(train, "words", "level")
+    return ordinal.score(docs, model, "words", ["doc_id"])
