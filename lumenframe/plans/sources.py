@@ -209,6 +209,28 @@ def extract_html_elements(spark, sf):
     return S.extract_elements(table(spark, sf, "pages"), "page_id", "html", "a", attribute="href")
 
 
+@query(
+    "extract_nested_elements",
+    r"""with p as (select page_id, '<div class="page">' || html || '</div>' as html from pages where html is not null),
+             t as (select page_id, regexp_extract_all(html, '(?is)<div(?:\s[^>]*)?>|</div\s*>') as tags,
+                          string_split_regex(html, '(?is)<div(?:\s[^>]*)?>|</div\s*>') as gaps from p),
+             u as (select *, unnest(range(1, len(tags) + 1)) as i from t),
+             d as (select *, tags[i] like '</%' as closing,
+                          sum(case when tags[i] like '</%' then -1 else 1 end) over (partition by page_id order by i) as depth from u),
+             c as (select o.page_id, o.i, min(k.i) as j from d o join d k on k.page_id = o.page_id and k.i > o.i and k.closing and k.depth = o.depth - 1
+                   where not o.closing group by 1, 2),
+             w as (select page_id, i, array_to_string(list_transform(range(i, j + 1), lambda x: tags[x] || case when x < j then gaps[x + 1] else '' end), '') as el
+                   from c join u using (page_id, i))
+        select page_id, (row_number() over (partition by page_id order by i) - 1)::int as pos,
+               regexp_replace(el, '(?s)<[^>]*>', '', 'g') as text, regexp_extract(el, '(?is)^<[^>]*?\sclass="([^"]*)"', 1) as class from w""",
+)
+def extract_nested_elements(spark, sf):
+    """Every page inside a frame of the name of its own inner boxes."""
+    framed = F.concat(F.lit('<div class="page">'), "html", F.lit("</div>"))
+    pages = table(spark, sf, "pages").where("html is not null").select("page_id", framed.alias("html"))
+    return S.extract_elements(pages, "page_id", "html", "div", attribute="class")
+
+
 @query(
     "extract_reviews",
     r"""select doc_id // 10 as page_id, (row_number() over (partition by doc_id // 10 order by doc_id, quality, toxic) - 1)::int as pos,

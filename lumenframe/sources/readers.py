@@ -156,9 +156,36 @@ def read_array_records(spark: SparkSession, path: str, *columns: str) -> DataFra
 
 
 def _elements(html: Column, tag: str) -> Column:
-    """Opening tag and inner HTML of each element, in document order."""
-    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>"
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+    """Every element of the name, whole, in the order of the opening tags.
+
+    Tags of the name are matched as brackets are: a closing tag ends the last one still
+    open.  Elements inside one of the same name are found too, each with all it holds.  A
+    closing tag too many and an opening tag that is never closed are passed over.
+    """
+    mark = rf"(?is)<{tag}(?:\s[^>]*)?>|</{tag}\s*>"
+    tags, gaps = F.regexp_extract_all(html, F.lit(mark), F.lit(0)), F.split(html, mark, -1)
+    pair = "struct<first:int,last:int>"
+    start = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast(f"array<{pair}>").alias("done"))
+    closes = F.transform(tags, lambda t: t.startswith("</"))
+
+    def step(state: Column, i: Column) -> Column:
+        stack, done = state["open"], state["done"]
+        ended = F.struct(F.element_at(stack, -1).alias("first"), i.alias("last"))
+        pushed = F.struct(F.concat(stack, F.array(i)).alias("open"), done.alias("done"))
+        popped = F.struct(F.slice(stack, 1, F.size(stack) - 1).alias("open"), F.concat(done, F.array(ended)).alias("done"))
+        return F.when(~F.get(closes, i), pushed).when(F.size(stack) > 0, popped).otherwise(state)
+
+    places = F.when(F.size(tags) > 0, F.sequence(F.lit(0), F.size(tags) - 1)).otherwise(F.array().cast("array<int>"))
+    found = F.aggregate(places, start, step, lambda state: F.array_sort(state["done"]))
+
+    def whole(pair: Column) -> Column:
+        parts = F.transform(
+            F.sequence(pair["first"], pair["last"]),
+            lambda i: F.concat(F.get(tags, i), F.when(i < pair["last"], F.get(gaps, i + 1)).otherwise("")),
+        )
+        return F.array_join(parts, "")
+
+    return F.transform(found, whole)
 
 
 def _attribute(element: Column, name: str) -> Column:
@@ -174,8 +201,8 @@ def extract_elements(
 ) -> DataFrame:
     """(key, pos, text[, attribute]) of each ``tag`` element, optionally by class regex.
 
-    An element ends at the first closing tag of its name: elements nested in one of the
-    same name are not told apart.
+    Positions follow the opening tags.  An element nested in one of the same name is an
+    element of its own, and its text is part of the outer one's too.
     """
     elements = _elements(F.col(html), tag)
     if class_like is not None:
