@@ -16,6 +16,8 @@ LOG = logging.getLogger(__name__)
 # Rounds go on until no margin is off by this share, and are given up after so many.
 TOLERANCE = 1e-9
 MAX_ROUNDS = 200
+# Rounds after which a fit is given up whose error falls too slowly to come down in time.
+TRIED = 20
 # A fit whose error moves by less than this share for three rounds has come to its end.
 STALLED = 1e-7
 
@@ -109,16 +111,18 @@ def rake(docs: DataFrame, margins: dict[str, Margin], tokens: Column, tolerance:
     only factor tables: small ones are broadcast after their rows were counted, larger
     ones joined salted.  Factors are written each step, so plans stay short.
 
-    Combinations without tokens weigh nothing.  Where the rounds end at ``max_rounds`` or
-    stand still without meeting the targets, as when they contradict each other, the compromise of
-    ``_settled`` is taken if less error is left on its worst margin.
+    Combinations without tokens weigh nothing.  Where the rounds end at ``max_rounds``, stand
+    still, or after ``TRIED`` of them fall too slowly to meet the targets, as when these
+    contradict each other, the compromise of ``_settled`` is taken if less error is left on
+    its worst margin.
     """
     rows = docs.select(*[_key(m.column).alias(n) for n, m in margins.items()], tokens.alias("tokens"))
     cells = cut_lineage(rows.groupBy(*margins).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"))
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     targets = {n: cut_lineage(_target(cells, n, m)) for n, m in margins.items()}
     sizes = {n: t.count() for n, t in targets.items()}
-    factors = {n: t.select(n, F.lit(1.0).alias(f"f_{n}")) for n, t in targets.items()}
+    # A factor table carries the target beside the factor: one lookup gives both.
+    factors = {n: t.select(n, F.lit(1.0).alias(f"f_{n}"), F.col("share").alias(f"t_{n}")) for n, t in targets.items()}
     error, rounds = (float("inf"), 0) if total else (0.0, 0)
     still = 0
     while error > tolerance and rounds < max_rounds and still < 3:
@@ -131,18 +135,25 @@ def rake(docs: DataFrame, margins: dict[str, Margin], tokens: Column, tolerance:
             weight = F.col("tokens") / F.lit(float(total))
             for other in margins:
                 weight = weight * F.col(f"f_{other}")
-            sums = weighed.groupBy(name).agg(F.sum(weight).alias("now"), F.first(f"f_{name}").alias("old"))
-            fitted = lookup(sums, targets[name], [name], known_rows=sizes[name])
             # Sums of contradicting targets may run out of the range of a number.
-            fitted = fitted.withColumn("now", F.greatest("now", F.lit(1e-300)))
-            fitted = fitted.select(name, (F.col("old") * F.col("share") / F.col("now")).alias(f"f_{name}"), F.abs(F.col("now") / F.col("share") - 1).alias("off"))
+            now = F.greatest(F.sum(weight), F.lit(1e-300)).alias("now")
+            fitted = weighed.groupBy(name).agg(now, F.first(f"f_{name}").alias("old"), F.first(f"t_{name}").alias("share"))
+            fitted = fitted.select(
+                name, (F.col("old") * F.col("share") / F.col("now")).alias(f"f_{name}"), F.col("share").alias(f"t_{name}"),
+                F.abs(F.col("now") / F.col("share") - 1).alias("off"),
+            )
             seen = Observation()
-            factors[name] = cut_lineage(fitted.observe(seen, F.max("off").alias("off")).select(name, f"f_{name}"))
+            factors[name] = cut_lineage(fitted.observe(seen, F.max("off").alias("off")).drop("off"))
             off = seen.get["off"]
             error = max(error, off) if math.isfinite(off) else math.inf
         if error == math.inf:
             break
         still = still + 1 if abs(before - error) <= STALLED * error else 0
+        # Where the error falls, it falls by a steady share each round; at this share it
+        # must come down in the rounds that are left.
+        if rounds >= TRIED and error > tolerance and error > before * (tolerance / error) ** (1 / max(1, max_rounds - rounds)):
+            break
+    factors = {n: f.drop(f"t_{n}") for n, f in factors.items()}
     mix = Mix(factors, sizes, rounds, error, total)
     if mix.error <= tolerance:
         return mix
@@ -159,7 +170,8 @@ def _settled(cells: DataFrame, targets: dict[str, DataFrame], sizes: dict[str, i
     only.  Weights are scaled to the whole at the end.
     """
     names = list(targets)
-    mix = Mix({n: t.select(n, F.lit(0.0).alias(f"f_{n}")) for n, t in targets.items()}, sizes, 0, math.inf, total, logs=True)
+    start = {n: t.select(n, F.lit(0.0).alias(f"f_{n}"), F.col("share").alias(f"t_{n}")) for n, t in targets.items()}
+    mix = Mix(start, sizes, 0, math.inf, total, logs=True)
 
     def weighed() -> DataFrame:
         rows = cells
@@ -170,11 +182,14 @@ def _settled(cells: DataFrame, targets: dict[str, DataFrame], sizes: dict[str, i
     def step(move: float) -> float:
         rows, moved, worst = weighed(), {}, 0.0
         for n in names:
-            sums = rows.groupBy(n).agg(F.greatest(F.sum("weight"), F.lit(1e-300)).alias("now"), F.first(f"f_{n}").alias("old"))
-            fitted = lookup(sums, targets[n], [n], known_rows=sizes[n])
-            fitted = fitted.select(n, (F.col("old") + F.log(F.col("share") / F.col("now")) * move).alias(f"f_{n}"), F.abs(F.col("now") / F.col("share") - 1).alias("off"))
+            now = F.greatest(F.sum("weight"), F.lit(1e-300)).alias("now")
+            fitted = rows.groupBy(n).agg(now, F.first(f"f_{n}").alias("old"), F.first(f"t_{n}").alias("share"))
+            fitted = fitted.select(
+                n, (F.col("old") + F.log(F.col("share") / F.col("now")) * move).alias(f"f_{n}"), F.col("share").alias(f"t_{n}"),
+                F.abs(F.col("now") / F.col("share") - 1).alias("off"),
+            )
             seen = Observation()
-            moved[n] = cut_lineage(fitted.observe(seen, F.max("off").alias("off")).select(n, f"f_{n}"))
+            moved[n] = cut_lineage(fitted.observe(seen, F.max("off").alias("off")).drop("off"))
             worst = max(worst, seen.get["off"])
         mix.factors = moved
         return worst
@@ -188,6 +203,7 @@ def _settled(cells: DataFrame, targets: dict[str, DataFrame], sizes: dict[str, i
     first = names[0]
     mix.factors[first] = cut_lineage(mix.factors[first].withColumn(f"f_{first}", F.col(f"f_{first}") - F.lit(math.log(whole))))
     mix.error = step(0.0)
+    mix.factors = {n: f.drop(f"t_{n}") for n, f in mix.factors.items()}
     return mix
 
 
