@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenframe.llm import decontam, linededup, mixing, quality, shingles
+from lumenframe.llm import decontam, linededup, mixing, quality, simhash
 from lumenframe.llm.common import remainder
 from lumenframe.runtime import cut_lineage, ship_package, table
 
@@ -25,9 +25,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of every group linked by a five-word Jaccard similarity of 0.8: the smallest id, then the first text."""
+    """Keep one document of every group of fingerprints over three-word shingles linked at two or fewer differing bits: the smallest id, then the first text."""
     ship_package(spark)
-    return shingles.keep_one(docs)
+    return simhash.keep_one(docs, width=3, radius=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
