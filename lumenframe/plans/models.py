@@ -300,7 +300,6 @@ def kernel_ridge_fit(spark, sf):
     return M.regression_metrics(scored, "energy", "prediction")
 
 
-@query("kernel_ridge_exact")
 def kernel_ridge_exact(spark, sf):
     """Weights over all training rows, scored on the test rows, with the steps the solver took."""
     rows = energies(spark, sf)

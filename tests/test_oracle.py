@@ -19,8 +19,7 @@ from lumenframe.plans import ORACLE, QUERIES  # noqa: E402
 # Costly fits that other entries exercise with the same code.
 HEAVY = {
     "bagged_trees", "best_params", "compare_trained_models", "random_search", "regression_tree_grid",
-    "top_docs_per_concept", "top_terms_per_concept", "scale_rows_by_singular", "lsa_fit", "semantic_search",
-    "concept_report", "polynomial_regression",
+    "bagged_trees_cv", "bagged_trees_importance", "random_forest_oob", "regression_tree_pruned", "polynomial_regression",
 }
 
 
