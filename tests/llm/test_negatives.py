@@ -56,14 +56,14 @@ def test_same_as_enumeration(spark, monkeypatch, size):
 
 
 def test_rows_that_take_no_part(spark):
-    rows = [(0, [1.0, 0.0], 1), (1, [1.5, 0.0], 1), (2, [0.5, 0.1], 2), (None, [0.6, 0.0], 3), (3, [0.6, 0.0], 4), (4, None, 2), (5, [0.5, None], 2),
+    rows = [(0, [1.0, 0.0], 0), (1, [1.5, 0.0], 1), (2, [0.5, 0.1], 2), (None, [0.6, 0.0], 3), (3, [0.6, 0.0], 4), (4, None, 2), (5, [0.5, None], 2),
             (6, [float("nan"), 1.0], 2), (8, [float("inf"), 1.0], 2), (9, [1.0, 1.0], None), (10, [0.9], 2), (11, [], 2), (100, [], 5), (12, [1e308, 1.0], 2)]
     got = mined(spark.createDataFrame(rows, SCHEMA))
     assert got == by_hand([r for r in rows if r[0] != 12]) and {g[3] for g in got} == {2, 3, None}
 
 
 def test_windows_of_low_positives(spark):
-    rows = [(0, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [-1.0, 0.0], 1), (3, [0.0, 3.0], 2), (4, [-0.5, 0.0], 2), (5, [0.001, 0.0], 2), (100, [-1.0, 0.0], 3)]
+    rows = [(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 1), (2, [-1.0, 0.0], 1), (3, [0.0, 3.0], 2), (4, [-0.5, 0.0], 2), (5, [0.001, 0.0], 2), (100, [-1.0, 0.0], 3)]
     got = mined(spark.createDataFrame(rows, SCHEMA))
     assert got == by_hand(rows) == [(0, 1, 1, 3, 0, 0), (0, 1, 2, 5, 0, 0)]
     assert mined(spark.createDataFrame(rows[:1], SCHEMA)) == [] and mined(spark.createDataFrame(rows[1:6], SCHEMA)) == []
@@ -72,7 +72,7 @@ def test_windows_of_low_positives(spark):
 
 def test_large_components_stay_exact(spark):
     def rows(big):
-        return [(0, [big, 1.0], 1), (1, [big, 3.0], 1), (2, [big / 2, 1.0], 2), (3, [big / 2, 1.00390625], 2), (5, [0.5, 1.0], 2)]
+        return [(0, [big, 1.0], 0), (1, [big, 3.0], 1), (2, [big / 2, 1.0], 2), (3, [big / 2, 1.00390625], 2), (5, [0.5, 1.0], 2)]
 
     got = mined(spark.createDataFrame(rows(2.0**22), SCHEMA))
     assert got == by_hand(rows(2.0**22)) and [g[3] for g in got] == [3, 2]
@@ -85,7 +85,7 @@ def test_large_components_stay_exact(spark):
 
 
 def test_ids_with_several_rows(spark):
-    rows = [(0, [1.0, 0.0], 1), (0, [5.0, 0.0], 1), (1, [2.0, 0.0], 1), (2, [1.0, 0.0], 2), (2, [1.5, 0.0], 2)]
+    rows = [(0, [1.0, 0.0], 0), (0, [5.0, 0.0], 0), (1, [2.0, 0.0], 1), (2, [1.0, 0.0], 2), (2, [1.5, 0.0], 2)]
     # The least of the anchor's rows asks; none of them is compared with it.
     assert mined(spark.createDataFrame(rows, SCHEMA)) == [(0, 1, 1, 2, 131072, 98304), (0, 1, 2, 2, 131072, 65536)]
 
