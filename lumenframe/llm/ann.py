@@ -45,6 +45,15 @@ class Lists:
             return np.take_along_axis(some, ranked, 1)
         return np.argsort(near, axis=1, kind="stable")
 
+    def reach(self, unit: np.ndarray, held: np.ndarray, least: int) -> list[list[int]]:
+        """Probed lists of each vector, and the next nearest ones while those hold fewer than ``least`` candidates."""
+        probed = self.order(unit)
+        out = probed.tolist()
+        for i in np.flatnonzero(held[probed].sum(axis=1) < least):
+            every = np.argsort(-(self.centroids @ unit[i]), kind="stable")
+            out[i] = every[: np.searchsorted(held[every].cumsum(), least) + 1].tolist()
+        return out
+
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
@@ -164,6 +173,8 @@ def nearest(table: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
     and as candidate, with their k + 1 smallest ids, so a vector that a third of all rows
     share costs as much as any other.  Every row is in a list; crowded lists are cut into
     units of bounded size, each joined with each share of the queries that probe the list.
+    Where the probed lists hold fewer than k candidates, the query probes on until they do
+    or no list is left, so only a table of fewer candidates gives fewer than k rows.
 
     Rows whose id or vector is null, whose vector is zero, empty or holds null or
     non-finite components, or has another length than most, take no part.  Repeated rows
@@ -189,22 +200,36 @@ def nearest(table: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
             if not batch.num_rows:
                 continue
             order = shared.value.order(_unit(_matrix(batch.column("vector"))))
-            asks = batch.column("asks").to_pylist()
-            probes = [o if q else None for o, q in zip(order.tolist(), asks)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("k1", "k2", "vector", "ids")), pa.array(order[:, 0], pa.int32()), pa.array(probes, pa.list_(pa.int32()))],
-                names=["k1", "k2", "vector", "ids", "list", "probes"],
-            )
+            kept = ["k1", "k2", "vector", "ids", "asks"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(order[:, 0], pa.int32())], names=[*kept, "list"])
 
     kind = table.schema[vec_id].dataType.simpleString()
     assigned = cut_lineage(
-        classes.mapInArrow(assign, f"k1 bigint, k2 bigint, vector array<double>, ids array<{kind}>, list int, probes array<int>")
+        classes.mapInArrow(assign, f"k1 bigint, k2 bigint, vector array<double>, ids array<{kind}>, asks boolean, list int")
     )
-    asked = assigned.where("probes is not null").select("k1", "k2", "vector", F.explode("probes").alias("list"))
     # One row per list: at most MAX_LISTS, so both sides of the plan below may broadcast them.
-    sizes = assigned.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
+    parts = F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int")
+    sizes = cut_lineage(assigned.groupBy("list").agg(parts.alias("parts"), F.sum(F.size("ids")).alias("held")))
+    held = np.zeros(len(lists.centroids), np.int64)
+    for row in sizes.collect():
+        held[row["list"]] = row["held"]
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # One candidate more than asked for, as the query itself is in a list.
+            probes = shared.value.reach(_unit(_matrix(batch.column("vector"))), held, k + 1)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("k1", "k2", "vector")), pa.array(probes, pa.list_(pa.int32()))],
+                names=["k1", "k2", "vector", "probes"],
+            )
+
+    probing = assigned.where("asks").select("k1", "k2", "vector")
+    probing = cut_lineage(probing.mapInArrow(probe, "k1 bigint, k2 bigint, vector array<double>, probes array<int>"))
+    asked = probing.select("k1", "k2", "vector", F.explode("probes").alias("list"))
     loads = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("shares"))
-    units = spark.createDataFrame(sizes.join(loads, "list").toPandas().astype("int32"), "list int, parts int, shares int")
+    units = spark.createDataFrame(sizes.drop("held").join(loads, "list").toPandas().astype("int32"), "list int, parts int, shares int")
     units = F.broadcast(units)
 
     def spread(of: str) -> Column:

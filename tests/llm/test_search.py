@@ -53,6 +53,19 @@ def test_ties_copies_and_rows_that_take_no_part(spark, monkeypatch):
     assert [s for _, s in got[100]] == pytest.approx([-s for s, _ in want])
 
 
+def test_probes_on_until_enough_are_found(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    near = [(i, [1.0, *(0.01 * rng.standard_normal(3)).tolist()]) for i in range(1000)]
+    far = [(1000 + 50 * i, [-1.0, *(0.01 * rng.standard_normal(3)).tolist()]) for i in range(3)]
+    two = ann.Lists(np.array([[1.0, 0, 0, 0], [-1.0, 0, 0, 0]]), 1, np.eye(4))
+    monkeypatch.setattr(ann, "fit", lambda *_: two)
+    table = spark.createDataFrame(near + far, "vec_id long, embedding array<double>")
+    found = ann.nearest(table, F.col("vec_id") % 50 == 0).collect()
+    for query in {i for i, _ in near + far if i % 50 == 0}:
+        got = [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == query]
+        assert got == [i for _, i in brute(near + far, query)]
+
+
 def test_few_and_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     one = spark.createDataFrame([(0, [1.0, 0.0]), (3, [0.5, 0.5])], schema)
