@@ -28,6 +28,13 @@ def hot(spark):
     return spark.createDataFrame(pdf).repartition(8), pdf
 
 
+def test_large_lookup_is_never_broadcast(spark):
+    """The planner takes these few bytes of ids for a table to broadcast, copies and all."""
+    ids = spark.range(50).withColumnRenamed("id", "k")
+    plan = lookup(ids, ids.withColumn("name", F.lit("n")), ["k"], max_rows=3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_quantiles(hot):
     df, pdf = hot
     got = {r["k"]: r for r in ranking.exact_quantiles(df, ["k"], "v", {"a": 0.1, "b": 0.5, "c": 0.97}).collect()}
