@@ -6,7 +6,7 @@ import logging
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import cut_lineage, lookup
@@ -142,9 +142,10 @@ def rake(docs: DataFrame, margins: dict[str, Margin], tokens: Column, tolerance:
                 name, (F.col("old") * F.col("share") / F.col("now")).alias(f"f_{name}"), F.col("share").alias(f"t_{name}"),
                 F.abs(F.col("now") / F.col("share") - 1).alias("off"),
             )
-            seen = Observation()
-            factors[name] = cut_lineage(fitted.observe(seen, F.max("off").alias("off")).drop("off"))
-            off = seen.get["off"]
+            # Not observed: an observation stays with the session, and Spark cannot send that
+            # to tasks of two-class models.
+            written = cut_lineage(fitted)
+            factors[name], off = written.drop("off"), written.agg(F.max("off")).first()[0]
             error = max(error, off) if math.isfinite(off) else math.inf
         if error == math.inf:
             break
@@ -188,9 +189,9 @@ def _settled(cells: DataFrame, targets: dict[str, DataFrame], sizes: dict[str, i
                 n, (F.col("old") + F.log(F.col("share") / F.col("now")) * move).alias(f"f_{n}"), F.col("share").alias(f"t_{n}"),
                 F.abs(F.col("now") / F.col("share") - 1).alias("off"),
             )
-            seen = Observation()
-            moved[n] = cut_lineage(fitted.observe(seen, F.max("off").alias("off")).drop("off"))
-            worst = max(worst, seen.get["off"])
+            written = cut_lineage(fitted)
+            moved[n] = written.drop("off")
+            worst = max(worst, written.agg(F.max("off")).first()[0])
         mix.factors = moved
         return worst
 

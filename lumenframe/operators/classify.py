@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, StringIndexer
+from pyspark.sql import DataFrame
+
+from ..runtime import fresh_path
 
 
 def logistic(reg: float = 0.1, iterations: int = 20, elastic_net: float = 0.0, intercept: bool = True) -> LogisticRegression:
@@ -36,6 +39,18 @@ def hashed_pipeline(features: list[str], label: str, learner, n_features: int =
     return Pipeline(stages=[*hashed_features(features, label, n_features).getStages(), learner])
 
 
+def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """The pipeline fitted on ``rows``, saved and read back, ready to score.
+
+    A fresh two-class model holds its training summary, and that the session.  Spark sends
+    both to the tasks, which fails as soon as anything in the session was observed
+    (``DataFrame.observe``); a model read back has no summary.
+    """
+    path = fresh_path(rows.sparkSession, "model")
+    pipeline.fit(rows).write().save(path)
+    return PipelineModel.load(path)
+
+
 def text_classifier(n_features: int = 1 << 16, reg: float = 0.01, iterations: int = 30) -> Pipeline:
     """Scores whole texts given as ``words``."""
     return Pipeline(

@@ -9,7 +9,7 @@ from .. import sources as S
 from ..operators import lsa as L
 from ..operators import ordinal
 from ..operators import text as X
-from ..operators.classify import text_classifier
+from ..operators.classify import fitted, text_classifier
 from ..operators.features import with_split
 from ..runtime import fresh_path, spread_table, table
 from .joins import TOKENS, WORD_LIST, WORDS, corpus
@@ -130,7 +130,7 @@ def text_scorer(spark, sf):
     docs = spread_table(spark, sf, "documents", "doc_id").select("doc_id", "text")
     labelled = docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
     train = with_split(labelled, "doc_id", 0.8).where("part = 'train'")
-    model = text_classifier(n_features=1 << 14).fit(train.withColumn("words", X.token_array(F.col("text"))))
+    model = fitted(text_classifier(n_features=1 << 14), train.withColumn("words", X.token_array(F.col("text"))))
     scored = model.transform(docs.withColumn("words", X.token_array(F.col("text"))))
     return scored.select(
         "doc_id",

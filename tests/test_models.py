@@ -6,11 +6,12 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lumenframe import sources as S
 from lumenframe.functions.vectors import rbf_kernel
-from lumenframe.operators import arma, kernel_ridge, lsa, neural, regress, tuning, var
+from lumenframe.operators import arma, classify, kernel_ridge, lsa, neural, regress, tuning, var
 from lumenframe.operators import daily as D
 from lumenframe.operators import stationarity as T
 from lumenframe.operators.features import with_fold
@@ -256,3 +257,11 @@ def test_moments_of_many_groups(spark):
     found = ols.moments(rows, ["g"], ["x3", "x5", "x7", "x11", "x13"])
     row = found.agg(F.count(F.lit(1)), F.sum("n"), F.min("n"), F.max("n")).first()
     assert tuple(row) == (200_000, 600_000, 3, 3)
+
+
+def test_two_class_model_scores_in_an_observed_session(spark):
+    own, seen = spark.newSession(), Observation()
+    own.range(4).observe(seen, F.max("id").alias("last")).collect()
+    rows = own.range(60).select((F.col("id") % 7).alias("x"), F.when(F.col("id") % 7 > 3, "Yes").otherwise("No").alias("status"))
+    model = classify.fitted(classify.hashed_pipeline(["x"], "status", classify.forest(trees=2, depth=2)), rows)
+    assert model.transform(rows).where("prediction >= 0").count() == 60
