@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Rows a task gathers before it folds them: fewer calls per group, bounded memory.
+# Rows a task gathers before it folds them: fewer calls per group, bounded memory.  A key with
+# more is spread.
 HELD_ROWS = 250_000
 
 
@@ -28,9 +30,10 @@ def reduce_groups(
 ) -> DataFrame:
     """User-defined aggregate in steps; both functions return one value per output name.
 
-    ``first`` reduces the rows of a key inside each Arrow batch, before any shuffle,
-    so a hot key sends one row per batch.  ``merge`` folds those partial rows, first
-    batch by batch on (key, salt) and then along the sorted keys.
+    Rows go to tasks by key, so each function is called about once per key, however many
+    tasks read the input.  Rows of a key that has more than ``HELD_ROWS`` are spread over
+    salts; ``first`` reduces the sorted rows of a (key, salt), in parts of ``HELD_ROWS``,
+    and ``merge`` folds those partial rows along the sorted keys.
     """
     schema = T.StructType([*[df.schema[k] for k in keys], *T.StructType.fromDDL(
         ", ".join(f"`{n}` {t}" for n, t in values.items())
@@ -44,22 +47,31 @@ def reduce_groups(
             rows.append((*k, *[found[n] for n in names]))
         return pd.DataFrame(rows, columns=[*keys, *names])
 
-    def batches(fn: Callable[[pd.DataFrame], dict]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-        def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held: list[pd.DataFrame] = []
-            for pdf in it:
-                held.append(pdf)
-                if sum(map(len, held)) >= HELD_ROWS:
-                    yield fold(pd.concat(held), fn)
-                    held = []
-            if sum(map(len, held)):
-                yield fold(pd.concat(held), fn)
+    def of_last_key(pdf: pd.DataFrame) -> pd.Series:
+        last = pdf[keys].iloc[-1]
+        return ((pdf[keys] == last) | (pdf[keys].isna() & last.isna())).all(axis=1)
 
-        return run
+    def reducing(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows arrive sorted by key; the last key of what is held may go on in the next batch.
+        held: list[pd.DataFrame] = []
+        for pdf in it:
+            held.append(pdf)
+            if sum(map(len, held)) >= HELD_ROWS:
+                whole = pd.concat(held, ignore_index=True)
+                same = of_last_key(whole)
+                held = [] if same.all() else [whole[same]]
+                yield fold(whole if same.all() else whole[~same], first)
+        if sum(map(len, held)):
+            yield fold(pd.concat(held, ignore_index=True), first)
 
-    partial = df.mapInPandas(batches(first), schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fewer = partial.repartition(parts, *keys, "_salt").drop("_salt").mapInPandas(batches(merge), schema)
+    sizes = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(sizes.where(F.col("_n") > HELD_ROWS).drop("_n").withColumn("_hot", F.lit(True)))  # fewer than rows / HELD_ROWS
+    salt = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(64))).otherwise(0)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    salted = df.join(hot, same, "left").select(*df.columns, salt.alias("_salt"))
+    dealt = salted.repartition(parts, *keys, "_salt").sortWithinPartitions(*keys).drop("_salt")
+    fewer = dealt.mapInPandas(reducing, schema)
 
     def closing(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows arrive sorted by key; the last key of a batch may go on in the next one.
@@ -68,8 +80,7 @@ def reduce_groups(
             pdf = pdf if held is None else pd.concat([held, pdf])
             if not len(pdf):
                 continue
-            last = pdf[keys].iloc[-1]
-            same = ((pdf[keys] == last) | (pdf[keys].isna() & last.isna())).all(axis=1)
+            same = of_last_key(pdf)
             held = fold(pdf[same], merge)
             if not same.all():
                 yield fold(pdf[~same], merge)

@@ -108,6 +108,27 @@ def test_user_aggregate(hot):
     assert np.allclose(got["total"], want["sum"]) and (got["n"] == want["count"]).all()
 
 
+def test_user_aggregate_calls_each_key_once(spark, monkeypatch):
+    """Every task of the input holds every key: partial rows of each would be 8 x 50; a hot key is spread."""
+    df = spark.range(4000).select(F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("v")).repartition(8)
+    calls = spark.sparkContext.accumulator(0)
+
+    def total(g):
+        calls.add(1)
+        return {"total": g["v"].sum()}
+
+    def run():
+        before = calls.value
+        rows = udfs.reduce_groups(df, ["k"], {"total": "bigint"}, total, lambda g: {"total": g["total"].sum()}).collect()
+        return {r["k"]: r["total"] for r in rows}, calls.value - before
+
+    want = {k or None: sum(range(k, 4000, 50)) for k in range(50)}
+    assert run() == (want, 50)
+    monkeypatch.setattr(udfs, "HELD_ROWS", 10)
+    got, calls_of_parts = run()
+    assert got == want and calls_of_parts > 50
+
+
 @pytest.mark.parametrize("width", [2, 6])
 def test_grouped_least_squares(spark, width):
     rng = np.random.default_rng(1)
