@@ -27,6 +27,8 @@ from .text import each_term, lemmatised, query_weights, row_total, term_counts,
 DOC = "doc_id"
 # Matrix entries of a dense block of documents inside a task.
 ENTRIES = 1 << 22
+# Words a task looks up at once.
+HELD_WORDS = 1 << 19
 # Passes at most, and the residual of a concept, as a share of its eigenvalue, that ends them.
 MAX_PASSES = 12
 TOLERANCE = 1e-6
@@ -120,6 +122,17 @@ def _dense(batch: pa.RecordBatch, n_terms: int) -> Iterator[tuple[int, np.ndarra
         yield start, dense
 
 
+def _slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with no more than ``most`` elements in ``column``, or of a single row."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0)))
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right"))
+        end = max(end, start + 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def indexed(words: DataFrame, names: list[str], idf: list[float]) -> DataFrame:
     """(doc_id, ids, weights): the terms of every document that are in the vocabulary, by id, with
     idf * tf / all words of the text."""
@@ -128,7 +141,7 @@ def indexed(words: DataFrame, names: list[str], idf: list[float]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight = shared.value
         n = max(len(known), 1)
-        for b in batches:
+        for b in (part for batch in batches for part in _slices(batch, "words", HELD_WORDS)):
             sizes = np.asarray(pc.fill_null(pc.list_value_length(b.column("words")), 0))
             found = pc.index_in(pc.list_flatten(b.column("words")), value_set=known)
             held = np.asarray(pc.is_valid(found))

@@ -265,3 +265,14 @@ def test_two_class_model_scores_in_an_observed_session(spark):
     rows = own.range(60).select((F.col("id") % 7).alias("x"), F.when(F.col("id") % 7 > 3, "Yes").otherwise("No").alias("status"))
     model = classify.fitted(classify.hashed_pipeline(["x"], "status", classify.forest(trees=2, depth=2)), rows)
     assert model.transform(rows).where("prediction >= 0").count() == 60
+
+
+def test_index_looks_up_bounded_numbers_of_words(spark, monkeypatch):
+    words = spark.createDataFrame([(i, ["b", "a", "b", "z"] * (i % 3)) for i in range(9)], "doc_id bigint, words array<string>").coalesce(1)
+    want = lsa.indexed(words, ["a", "b"], [1.0, 2.0]).orderBy("doc_id").collect()
+    monkeypatch.setattr(lsa, "HELD_WORDS", 5)
+    batch = lsa.pa.RecordBatch.from_pydict({"words": [r["words"] for r in words.orderBy("doc_id").collect()]})
+    held = [sum(map(len, part.column(0).to_pylist())) for part in lsa._slices(batch, "words", 5)]
+    assert sum(held) == 36 and max(held) == 8  # a row of eight words stands alone
+    assert lsa.indexed(words, ["a", "b"], [1.0, 2.0]).orderBy("doc_id").collect() == want
+    assert want[1]["ids"] == [0, 1] and want[1]["weights"] == [0.25, 1.0] and want[0]["ids"] == []
