@@ -14,8 +14,10 @@ def token_array(text: Column, min_length: int = 3) -> Column:
     A word is cut at blanks and punctuation but for apostrophes, hyphens and underscores
     within it; one that holds anything else than letters is dropped whole.
     """
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:['’_-]+[\p{L}\p{N}]+)*"), F.lit(0))
-    return F.filter(words, lambda w: w.rlike(rf"^\p{{L}}{{{min_length},}}$"))
+    # One pattern takes both kinds of words, the kept ones as its group; the others leave it empty.
+    kept = rf"([a-z\p{{L}}]{{{min_length},}}+)(?![\p{{L}}\p{{N}}]|['’_-]+[\p{{L}}\p{{N}}])"
+    other = r"[a-z\p{L}\p{N}]++(?:['’_-]+[a-z\p{L}\p{N}]+)*+"
+    return F.array_remove(F.regexp_extract_all(F.lower(text), F.lit(f"{kept}|{other}"), F.lit(1)), "")
 
 
 def each_term(words: DataFrame, *keep: str | Column) -> DataFrame:
@@ -51,7 +53,7 @@ def term_counts(words: DataFrame, key: str) -> DataFrame:
 
     The words of a text are sorted; a term's count is how far the next one starts.
     """
-    rows = words.select(key, F.array_sort("_w").alias("_w"))
+    rows = words.select(key, F.sort_array("_w").alias("_w"))
     starts = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
     rows = rows.where(F.size("_w") > 0).select(key, "_w", starts.alias("_from"))
     counted = F.transform("_from", lambda i, k: F.struct(
