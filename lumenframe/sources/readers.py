@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,29 +165,37 @@ def _elements(html: Column, tag: str) -> Column:
     closing tag too many and an opening tag that is never closed are passed over.
     """
     mark = rf"(?is)<{tag}(?:\s[^>]*)?>|</{tag}\s*>"
-    tags, gaps = F.regexp_extract_all(html, F.lit(mark), F.lit(0)), F.split(html, mark, -1)
     pair = "struct<first:int,last:int>"
     start = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast(f"array<{pair}>").alias("done"))
-    closes = F.transform(tags, lambda t: t.startswith("</"))
-
-    def step(state: Column, i: Column) -> Column:
-        stack, done = state["open"], state["done"]
-        ended = F.struct(F.element_at(stack, -1).alias("first"), i.alias("last"))
-        pushed = F.struct(F.concat(stack, F.array(i)).alias("open"), done.alias("done"))
-        popped = F.struct(F.slice(stack, 1, F.size(stack) - 1).alias("open"), F.concat(done, F.array(ended)).alias("done"))
-        return F.when(~F.get(closes, i), pushed).when(F.size(stack) > 0, popped).otherwise(state)
-
-    places = F.when(F.size(tags) > 0, F.sequence(F.lit(0), F.size(tags) - 1)).otherwise(F.array().cast("array<int>"))
-    found = F.aggregate(places, start, step, lambda state: F.array_sort(state["done"]))
-
-    def whole(pair: Column) -> Column:
-        parts = F.transform(
-            F.sequence(pair["first"], pair["last"]),
-            lambda i: F.concat(F.get(tags, i), F.when(i < pair["last"], F.get(gaps, i + 1)).otherwise("")),
-        )
-        return F.array_join(parts, "")
 
-    return F.transform(found, whole)
+    def pairs(closes: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            stack, done = state["open"], state["done"]
+            ended = F.struct(F.element_at(stack, -1).alias("first"), i.alias("last"))
+            pushed = F.struct(F.concat(stack, F.array(i)).alias("open"), done.alias("done"))
+            popped = F.struct(F.slice(stack, 1, F.size(stack) - 1).alias("open"), F.concat(done, F.array(ended)).alias("done"))
+            return F.when(~F.get(closes, i), pushed).when(F.size(stack) > 0, popped).otherwise(state)
+
+        places = F.when(F.size(closes) > 0, F.sequence(F.lit(0), F.size(closes) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(places, start, step, lambda state: F.array_sort(state["done"]))
+
+    def elements(cut: Column) -> Column:
+        def whole(pair: Column) -> Column:
+            parts = F.transform(
+                F.sequence(pair["first"], pair["last"]),
+                lambda i: F.concat(F.get(cut["tags"], i), F.when(i < pair["last"], F.get(cut["gaps"], i + 1)).otherwise("")),
+            )
+            return F.array_join(parts, "")
+
+        return F.transform(_once(F.transform(cut["tags"], lambda t: t.startswith("</")), pairs), whole)
+
+    return _once(F.struct(F.regexp_extract_all(html, F.lit(mark), F.lit(0)).alias("tags"), F.split(html, mark, -1).alias("gaps")), elements)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once a row; a column used within a lambda function is
+    made again for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _attribute(element: Column, name: str) -> Column:
