@@ -108,11 +108,15 @@ def grow(nodes: trees.Nodes, leaves: dict[int, Moments], smoothing: float = SMOO
     return ModelTree(nodes, ends, smoothed)
 
 
-def fit(train: DataFrame, terms: list[str], depth: int = 5, smallest: int | None = None) -> ModelTree:
-    """Grow on rows with label, features and the columns ``terms``."""
-    spark = train.sparkSession
-    learner = DecisionTreeRegressor(maxDepth=depth, minInstancesPerNode=smallest or 2 * len(terms), seed=7)
-    nodes = trees.nodes_of(spark, learner.fit(train))
+def learner(terms: list[str], depth: int = 5, smallest: int | None = None) -> DecisionTreeRegressor:
+    """The tree under the models; a leaf holds twice as many rows as there are terms."""
+    return DecisionTreeRegressor(maxDepth=depth, minInstancesPerNode=smallest or 2 * len(terms), seed=7)
+
+
+def fit(train: DataFrame, terms: list[str], depth: int = 5, smallest: int | None = None, nodes: trees.Nodes | None = None) -> ModelTree:
+    """Grow on rows with label, features and the columns ``terms``; ``nodes`` of a tree grown already may be given."""
+    if nodes is None:
+        nodes = trees.nodes_of(train.sparkSession, learner(terms, depth, smallest).fit(train))
 
     def work(nodes: trees.Nodes, paths: np.ndarray, more: dict) -> dict:
         return {"leaf": paths[-1][:, 0].astype(np.int32)}
