@@ -81,3 +81,8 @@ def test_rows_of_equal_keys_are_drawn_by_themselves(rows, monkeypatch):
     regress.bagging_cv(rows.withColumn("id", F.col("id") % 20), rows, ["id"], folds=2, bag=3, depth=2)
     assert seen[0].table.select("draws").distinct().count() > 20
 
+
+def test_bootstrapped_trees_share_their_passes(rows, passes):
+    nodes = trees.fit_bootstrapped(rows, ["id"], RandomForestRegressor(maxDepth=4, featureSubsetStrategy="2"), trees=9)
+    assert len(passes) <= 4 and len(nodes.roots) == 9
+
