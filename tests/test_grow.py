@@ -86,3 +86,19 @@ def test_bootstrapped_trees_share_their_passes(rows, passes):
     nodes = trees.fit_bootstrapped(rows, ["id"], RandomForestRegressor(maxDepth=4, featureSubsetStrategy="2"), trees=9)
     assert len(passes) <= 4 and len(nodes.roots) == 9
 
+
+def test_trees_of_a_grid_and_of_a_pruning_table_share_their_passes(rows, passes):
+    train, valid, test = (rows.where(F.col("id") % 7 < 5), rows.where("id % 7 = 5"), rows.where("id % 7 = 6"))
+    grid = regress.tree_grid(train, valid, test, [4, 10], [2, 8]).collect()
+    assert len(passes) <= 8 and len(grid) == 4 and max(r.r2 for r in grid) > 0.8
+    passes.clear()
+    table, _, _ = regress.pruning_table(rows, ["id"], depth=5, folds=4)
+    assert len(passes) <= 5 and table.where("chosen").first().xerror < 0.2
+
+
+def test_regression_tree_grid_has_ten_folds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(regress, "tree_grid", lambda *a: seen.append(a))
+    models.regression_tree_grid(spark, SF)
+    assert sorted(r.fold for r in seen[0][0].select("fold").distinct().collect()) == list(range(10))
+
