@@ -102,3 +102,14 @@ def test_regression_tree_grid_has_ten_folds(spark, monkeypatch):
     models.regression_tree_grid(spark, SF)
     assert sorted(r.fold for r in seen[0][0].select("fold").distinct().collect()) == list(range(10))
 
+
+def test_different_learners_share_their_passes(spark, rows, passes, monkeypatch):
+    named = rows.withColumn("a", F.get(models.vector_to_array("features"), F.lit(0)))
+    learners = [regress.tree(9, 4), model_tree.learner(["a"], 3), regress.forest(5, 4, subset="2")]
+    tree, m5, forest = regress.grown(rows, ["id"], learners)
+    assert len(passes) <= 4 and len(forest.roots) == 5
+    got = {r.label: r.prediction for r in regress.model_tree(named, named, ["a"], 3, nodes=m5).collect()}
+    monkeypatch.undo()
+    assert got == pytest.approx({r.label: r.prediction for r in regress.model_tree(named, named, ["a"], 3).collect()})
+    assert guesses(rows, tree) == pytest.approx({r.id: r.prediction for r in learners[0].fit(rows).transform(rows).collect()})
+
