@@ -113,3 +113,9 @@ def test_different_learners_share_their_passes(spark, rows, passes, monkeypatch)
     assert got == pytest.approx({r.label: r.prediction for r in regress.model_tree(named, named, ["a"], 3).collect()})
     assert guesses(rows, tree) == pytest.approx({r.id: r.prediction for r in learners[0].fit(rows).transform(rows).collect()})
 
+
+def test_bagged_trees_are_cross_validated(spark):
+    found = models.bagged_trees(spark, SF).first()
+    train, test = models.insurance_vectors(spark, SF)
+    assert found.n == test.count() and found.cv_n == train.count() and found.cv_rmse > 0
+
