@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, StringIndexer
+from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, StringIndexer, VectorSlicer
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..runtime import fresh_path
+from . import nested
 
 
 def logistic(reg: float = 0.1, iterations: int = 20, elastic_net: float = 0.0, intercept: bool = True) -> LogisticRegression:
@@ -39,6 +42,24 @@ def hashed_pipeline(features: list[str], label: str, learner, n_features: int =
     return Pipeline(stages=[*hashed_features(features, label, n_features).getStages(), learner])
 
 
+def tuned(train: DataFrame, learner, choices: dict[str, list], metric: str, fold: str, folds: int):
+    """The learner at the best of all settings, by the mean over the folds, fitted on all rows; and the scores."""
+    rows = train.select("label", "features", fold)
+    scores, best = nested.cross_validate(rows, learner, choices, metric, fold, folds)
+    return nested.refit(rows, learner, best), scores
+
+
+def filled(train: DataFrame, *others: DataFrame) -> list[DataFrame]:
+    """The tables with only those places of ``features`` that are not zero throughout ``train``.
+
+    Hashed vectors are mostly empty places; a tree cannot split on them, but keeps a number
+    for each of them per row and sums for each per node.
+    """
+    used = train.select(Summarizer.numNonZeros(F.col("features")).alias("n")).first()["n"].toArray().nonzero()[0].tolist()
+    slicer = VectorSlicer(inputCol="_hashed", outputCol="features", indices=used or [0])
+    return [slicer.transform(t.withColumnRenamed("features", "_hashed")).drop("_hashed") for t in (train, *others)]
+
+
 def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """The pipeline fitted on ``rows``, saved and read back, ready to score.
 

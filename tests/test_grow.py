@@ -119,3 +119,24 @@ def test_bagged_trees_are_cross_validated(spark):
     train, test = models.insurance_vectors(spark, SF)
     assert found.n == test.count() and found.cv_n == train.count() and found.cv_rmse > 0
 
+
+def test_decision_tree_is_tuned(spark, monkeypatch):
+    plain, seen = classify.tuned, []
+
+    def tuned(train, learner, choices, *more):
+        seen.append((choices, more, train.select("fold").distinct().count()))
+        model, scores = plain(train, learner, {"maxDepth": [2, 3]}, *more)
+        assert scores.count() == 2
+        return model, scores
+
+    monkeypatch.setattr(classify, "tuned", tuned)
+    assert models.decision_tree_classifier(spark, SF).count() == 2
+    assert seen == [({"maxDepth": [5, 10, 15], "maxBins": [20, 50, 100], "impurity": ["entropy", "gini"]}, ("auc", "fold", 5), 5)]
+
+
+def test_empty_places_do_not_change_a_tree(spark):
+    train, test = models.hashed_heart(spark, SF)
+    small, other = classify.filled(train, test)
+    assert len(small.first().features) < 30 < len(train.first().features)
+    want, got = (classify.tree(depth=4).fit(a).transform(b).select("o_orderkey", "prediction") for a, b in ((train, test), (small, other)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
