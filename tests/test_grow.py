@@ -103,6 +103,26 @@ def test_regression_tree_grid_has_ten_folds(spark, monkeypatch):
     assert sorted(r.fold for r in seen[0][0].select("fold").distinct().collect()) == list(range(10))
 
 
+def test_random_search_is_the_plain_search(rows, passes, monkeypatch):
+    forest, evaluator = RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy="all", seed=1), RegressionEvaluator(metricName="r2")
+    got = tuning.random_search(rows, "id", forest, evaluator, {"maxDepth": [1, 3, 4]}, 3, 3, 2).collect()
+    assert len(passes) <= 8
+    monkeypatch.undo()
+    monkeypatch.setattr(grow, "supports", lambda learner: False)
+    want = tuning.random_search(rows, "id", forest, evaluator, {"maxDepth": [1, 3, 4]}, 3, 3, 2).collect()
+    assert [r.params for r in got] == [r.params for r in want]
+    assert [r.metric for r in got] == pytest.approx([r.metric for r in want])
+
+
+def test_random_search_is_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tuning, "random_search", lambda *a, **k: seen.append((a, k)))
+    searches.random_search(spark, SF)
+    (_, _, forest, _, choices), k = seen[0]
+    assert (k["settings"], k["folds"], k["repeats"]) == (15, 10, 3) and forest.getNumTrees() >= 20
+    assert len(tuning.grid(**choices)) >= 15
+
+
 def test_different_learners_share_their_passes(spark, rows, passes, monkeypatch):
     named = rows.withColumn("a", F.get(models.vector_to_array("features"), F.lit(0)))
     learners = [regress.tree(9, 4), model_tree.learner(["a"], 3), regress.forest(5, 4, subset="2")]
